@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from dealspark.llm.bpe import op2_byte_bpe
 from dealspark.llm.media import op9_media_columns
 
 QUERIES = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op9_media_columns": op9_media_columns,
 }
 
