@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from dealspark.llm.bpe import op2_byte_bpe
 from dealspark.llm.media import op9_media_columns
+from dealspark.llm.packing import op5_best_fit_packing
 
 QUERIES = {
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op2_byte_bpe": op2_byte_bpe,
     "op9_media_columns": op9_media_columns,
 }
