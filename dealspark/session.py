@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -43,6 +44,13 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cut lineage through a Parquet table in the shared checkpoint folder: compact, and read by column."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data directory; the path may be in any store that Spark reads."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
