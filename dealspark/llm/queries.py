@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dealspark.llm.bpe import op2_byte_bpe
 from dealspark.llm.media import op9_media_columns
+from dealspark.llm.minhash import op7_minhash_near_dedup
 from dealspark.llm.packing import op5_best_fit_packing
 
 QUERIES = {
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op2_byte_bpe": op2_byte_bpe,
     "op9_media_columns": op9_media_columns,
