@@ -6,9 +6,11 @@ from dealspark.llm.bpe import op2_byte_bpe
 from dealspark.llm.media import op9_media_columns
 from dealspark.llm.minhash import op7_minhash_near_dedup
 from dealspark.llm.packing import op5_best_fit_packing
+from dealspark.llm.quality import op3_quality_classifier
 from dealspark.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op3_quality_classifier": op3_quality_classifier,
     "op10_toxicity": op10_toxicity,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
