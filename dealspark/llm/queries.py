@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dealspark.llm.bpe import op2_byte_bpe
 from dealspark.llm.language import op4_language_id
+from dealspark.llm.lattice import op8_lm_scoring
 from dealspark.llm.media import op9_media_columns
 from dealspark.llm.minhash import op7_minhash_near_dedup
 from dealspark.llm.packing import op5_best_fit_packing
@@ -11,6 +12,7 @@ from dealspark.llm.quality import op3_quality_classifier
 from dealspark.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op8_lm_scoring": op8_lm_scoring,
     "op4_language_id": op4_language_id,
     "op3_quality_classifier": op3_quality_classifier,
     "op10_toxicity": op10_toxicity,
