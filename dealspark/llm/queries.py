@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dealspark.llm.bpe import op2_byte_bpe
+from dealspark.llm.embeddings import op6_embedding_near_dedup
 from dealspark.llm.language import op4_language_id
 from dealspark.llm.lattice import op8_lm_scoring
 from dealspark.llm.media import op9_media_columns
@@ -12,6 +13,7 @@ from dealspark.llm.quality import op3_quality_classifier
 from dealspark.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op8_lm_scoring": op8_lm_scoring,
     "op4_language_id": op4_language_id,
     "op3_quality_classifier": op3_quality_classifier,
