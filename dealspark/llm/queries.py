@@ -11,8 +11,10 @@ from dealspark.llm.minhash import op7_minhash_near_dedup
 from dealspark.llm.packing import op5_best_fit_packing
 from dealspark.llm.quality import op3_quality_classifier
 from dealspark.llm.toxicity import op10_toxicity
+from dealspark.llm.urls import OP1_SQL, op1_url_filters
 
 QUERIES = {
+    "op1_url_filters": op1_url_filters,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op8_lm_scoring": op8_lm_scoring,
     "op4_language_id": op4_language_id,
@@ -24,4 +26,4 @@ QUERIES = {
     "op9_media_columns": op9_media_columns,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_url_filters": OP1_SQL}
