@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from dealspark.llm.bpe import op2_byte_bpe
 from dealspark.llm.embeddings import op6_embedding_near_dedup
 from dealspark.llm.language import op4_language_id
@@ -14,6 +16,7 @@ from dealspark.llm.toxicity import op10_toxicity
 from dealspark.llm.urls import OP1_SQL, op1_url_filters
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_url_filters": op1_url_filters,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op8_lm_scoring": op8_lm_scoring,
@@ -27,3 +30,5 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {"op1_url_filters": OP1_SQL}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
