@@ -24,3 +24,11 @@ def query(name: str, sql: str | None = None):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["priority_topk"](spark, sf_dir)
+
+
+def _load() -> None:
+    """Import the modules that register queries."""
+    from dealspark.plans import documents, events, records, web  # noqa: F401
+
+
+_load()
