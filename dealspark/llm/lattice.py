@@ -205,6 +205,20 @@ def _word_counts(docs: DataFrame, training: Column) -> DataFrame:
     return docs.select("text", training.alias("kept")).mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 30_000) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """Words and counts of several batches together: the recursions run over many words at once."""
+    words: list[bytes] = []
+    counts: list[np.ndarray] = []
+    for b in batches:
+        words += b.column(0).to_pylist()
+        counts.append(b.column(1).to_numpy())
+        if len(words) >= rows:
+            yield words, np.concatenate(counts)
+            words, counts = [], []
+    if words:
+        yield words, np.concatenate(counts)
+
+
 class Scorer:
     """The model: piece weights, corpus totals and how much weight a seen word's own arc has."""
 
@@ -238,8 +252,8 @@ def train(words: DataFrame, path: str) -> Scorer:
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             total = np.zeros(len(shared.value.texts))
-            for b in batches:
-                total += expected_counts(shared.value, b.column(0).to_pylist(), b.column(1).to_numpy())
+            for words, counts in _gathered(batches):
+                total += expected_counts(shared.value, words, counts)
             some = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["piece", "n"])
 
@@ -256,8 +270,7 @@ def _valued(words: DataFrame, scorer: Scorer) -> DataFrame:
     shared = words.sparkSession.sparkContext.broadcast(scorer)  # the vocabulary and a few numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            data, counts = b.column(0).to_pylist(), b.column(1).to_numpy()
+        for data, counts in _gathered(batches):
             raw, at = np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])
             h = K.span_hashes(raw, at[:-1], at[1:]).view(np.int64) if len(raw) else np.zeros(len(data), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(counts), pa.array(shared.value.base(counts)), pa.array(shared.value.model(data, counts))], names=["h", "c", "base", "model"])
