@@ -12,23 +12,24 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """(node, component) for every node of the links; component is the smallest node reachable.
 
     Each round points every node's larger neighbours at its smallest one (large star), then its smaller
-    neighbours and itself (small star), until the links no longer change. Both steps aggregate minima by
+    neighbours and itself (small star), until every link leads to a root. Both steps aggregate minima by
     node before any join; no neighbourhood is ever gathered. Null ends and loops are ignored.
     """
     links = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct()
     links = durable(links)
-    state = None
-    while True:
+    while not _settled(links):
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
         links = durable(small.union(down.select("u", F.col("m").alias("v"))).distinct())
-        seen = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if state == (seen["n"], seen["h"]):
-            break
-        state = (seen["n"], seen["h"])
     members = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return members.union(roots).distinct()
+    return members.union(roots.distinct())
+
+
+def _settled(links: DataFrame) -> bool:
+    """Whether every link leads from a node with no other link to a root."""
+    ends = links.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(links.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()

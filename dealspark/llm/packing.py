@@ -33,7 +33,8 @@ from dealspark.session import durable
 CAPACITY = 4096
 END_ID = 1
 #: Words with known ids that a worker keeps; beyond it the cache starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
+_MARK = b"\x02"
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -47,6 +48,7 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.cache: dict[bytes, bytes] = {}
+        (self.mark,) = self.tokenizer.encode(_MARK.decode(), add_special_tokens=False).ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The pattern of this vocabulary never joins characters across white space, so words can be encoded alone."""
@@ -58,11 +60,24 @@ class WordTokens:
         for row in rows:
             new.update([w for w in row if w not in cache])
         fresh = list(new)
-        for word, found in zip(fresh, self.tokenizer.encode_batch([w.decode("utf-8") for w in fresh], add_special_tokens=False), strict=True):
-            cache[word] = np.array(found.ids, "<u4").tobytes()
+        for i in range(0, len(fresh), 4096):
+            self._add(fresh[i : i + 4096])
         return [b"".join([cache[w] for w in row]) for row in rows]
 
 
+    def _add(self, words: list[bytes]) -> None:
+        """Encode new words in one call, parted by a control character that is a token of its own."""
+        ids = np.array(self.tokenizer.encode((b"\n" + _MARK + b"\n").join(words).decode("utf-8"), add_special_tokens=False).ids, "<u4")
+        marks = np.flatnonzero(ids == self.mark)
+        if len(marks) == len(words) - 1:
+            data, edges = ids.tobytes(), [-1, *marks.tolist(), len(ids)]
+            for word, a, b in zip(words, edges, edges[1:]):
+                self.cache[word] = data[4 * a + 4 : 4 * b]
+        else:  # some word holds that character itself
+            for word, found in zip(words, self.tokenizer.encode_batch([w.decode("utf-8") for w in words], add_special_tokens=False), strict=True):
+                self.cache[word] = np.array(found.ids, "<u4").tobytes()
+
+
 @functools.cache
 def word_tokens(path: str) -> WordTokens:
     return WordTokens(path)
