@@ -8,7 +8,9 @@ on distinct shingle sets only:
 1. each text is compared with the first text of its regions, which joins most groups of copies at once;
 2. regions that still hold several components are compared pair by pair, across components, once they are
    small (descending to longer prefixes where they are not);
-3. regions that stay crowded at full depth are compared with one pivot after another until nothing joins.
+3. regions that stay crowded at full depth are compared with pivots, more of them each turn, until every pair of
+   different components has been compared: a text that was a pivot leaves its regions, and a region ends when the
+   texts left in it are one component.
 
 A two-bit sketch of the signature drops pairs that are far below the threshold (by more than five
 standard errors); every other pair is confirmed on the two full sets before it becomes a link.
@@ -181,18 +183,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         more = small if more is None else more.union(small)
         crowded = stored(unsettled.where(F.col("n") > REGION).drop("n"))
     found = stored(_confirmed(texts, _similar(sketches, more.distinct(), percent), size, percent))
-    turn = 0
+    many = 1
     while True:
         if not found.isEmpty():
             components = connected_components(found.union(components.select(F.col("node").alias("a"), F.col("component").alias("b"))))
-        elif turn:
-            break
+        crowded = crowded.select("node", deepest).join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        crowded = stored(_unsettled(stored(crowded), deepest))
         if crowded.isEmpty():
             break
-        turn += 1
-        crowded = crowded.drop("component").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        crowded = stored(_unsettled(stored(crowded), deepest).drop("n"))
-        found = stored(_confirmed(texts, _similar(sketches, _pivots(crowded, deepest, turn), percent), size, percent))
+        pivots = stored(_pivots(crowded, deepest, many))
+        found = stored(_confirmed(texts, _similar(sketches, _met(crowded, pivots, deepest), percent), size, percent))
+        crowded = crowded.join(pivots, "node", "left_anti")
+        many *= 4
     named = groups.join(components, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component_id"))
     out = sets.select("doc_id", "n_shingles", "k1", "k2").join(stored(named), ["k1", "k2"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
@@ -206,11 +208,24 @@ def _unsettled(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(stored(sizes.select(key, "n")), key)
 
 
-def _pivots(rows: DataFrame, key: str, turn: int) -> DataFrame:
-    """Pairs of one row of each region, another one each turn, with the region's rows of other components."""
-    chosen = F.xxhash64("node", F.lit(turn))
-    pivot = stored(rows.groupBy(key).agg(F.min_by("node", chosen).alias("a"), F.min_by("component", chosen).alias("of")))
-    return rows.join(pivot, key).where("of <> component").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+def _pivots(rows: DataFrame, key: str, many: int) -> DataFrame:
+    """Nodes: about ``many`` rows of each region, and as many of those outside its largest component; all once there are no more.
+
+    Each pair of different components has a row outside the largest one, so the region is done when all these were pivots.
+    """
+    parts = rows.groupBy(key, "component").agg(F.count("*").alias("own"))
+    regions = parts.groupBy(key).agg(F.max_by("component", F.struct("own", "component")).alias("largest"), (F.sum("own") - F.max("own")).alias("outside"))
+    place = F.pmod(F.xxhash64("node", F.lit(many)), F.lit(1 << 20)) / (1 << 20)  # the same in every region
+    chosen = (place * F.col("n") < many) | (F.col("component") != F.col("largest")) & (place * F.col("outside") < many)
+    return rows.join(stored(regions), key).where(chosen).select("node").distinct()
+
+
+def _met(rows: DataFrame, pivots: DataFrame, key: str) -> DataFrame:
+    """Pairs of the pivots with the rows of other components in all their regions; a large region is dealt out in shares."""
+    shares = F.ceil(F.col("n") / (4 * REGION))
+    dealt = rows.select(key, "node", "component", F.pmod(F.xxhash64("node"), shares).alias("share"))
+    other = rows.join(pivots, "node").select(key, F.col("node").alias("a"), F.col("component").alias("of"), F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)).alias("share"))
+    return dealt.join(other, [key, "share"]).where("of <> component").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
 
 
 def _across(rows: DataFrame, key: str) -> DataFrame:

@@ -83,6 +83,22 @@ def test_crowded_region_of_near_copies(spark, docs):
     assert {r["component_id"] for r in got} == {0}
 
 
+def test_crowded_region_mostly_below_the_threshold(spark, docs):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(300):
+        own = list(words)
+        for at in rng.sample(range(300), 3 if i in (90, 107, 141, 166) else 8):
+            own[at] = f"x{i}at{at}"
+        rows.append((i, " ".join(own), "en"))
+    sets = {i: shingles(t, 3) for i, t, _ in rows}
+    want = grouped(sorted(sets), lambda a, b: 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]))
+    assert len(set(want.values())) > 280 and want[166] == want[141] == 90
+    got = minhash.near_duplicates(docs(rows), 3, 85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 def test_embeddings_against_all_pairs(spark):
     rng = np.random.default_rng(2)
     rows = []
