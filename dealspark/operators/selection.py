@@ -31,8 +31,17 @@ def global_position(df: DataFrame, key: str, name: str = "position") -> DataFram
     return ranges.withColumn("__own", own).join(before, "__range").withColumn(name, F.col("__before") + F.col("__own")).drop("__range", "__own", "__before")
 
 
+def quota_pool(df: DataFrame, count: int) -> DataFrame:
+    """The rows that ``balanced_quota`` can pick: the first ``count`` of each category, at home and abroad.
+
+    Nothing is lost: a pass takes the rows of a category in the order of penalty and name, and picks and swaps together
+    take at most ``count`` rows of one group. Repeated rows count once, as they do there.
+    """
+    return top_per_group(df.distinct(), ["category", "domestic"], [F.asc("penalty"), F.asc("name")], count).drop("rank")
+
+
 def balanced_quota(rows: list[dict], count: int, least_domestic: int) -> list[dict]:
-    """Greedy selection over a short list (at most the candidates of one report run, already ranked by score).
+    """Greedy selection over a short list (``quota_pool`` keeps what it needs of a long one).
 
     Pass 1 takes the best of each category, categories with fewer earlier reports first; pass 2 fills up, each
     pick of a category making its next one dearer; pass 3 swaps the last rows from abroad for domestic ones. Counts

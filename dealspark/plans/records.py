@@ -143,8 +143,9 @@ def top1_per_group(spark: SparkSession, d: str) -> DataFrame:
 @query("balanced_quota")
 def balanced_quota(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    pool = selection.top_k(c, [F.desc("c_acctbal"), F.asc("c_custkey")], 200)
-    rows = [r.asDict() for r in pool.select(F.col("n_name").alias("category"), F.col("c_name").alias("name"), (-F.col("c_acctbal")).alias("penalty"), (F.col("n_regionkey") == 2).alias("domestic"), (F.col("n_nationkey") % 3).alias("earlier")).collect()]  # a pool of 200
+    penalty = F.coalesce(-F.col("c_acctbal"), F.lit(float("inf")))  # without a balance: last
+    pool = c.select(F.col("n_name").alias("category"), F.col("c_name").alias("name"), penalty.alias("penalty"), (F.col("n_regionkey") == 2).alias("domestic"), (F.col("n_nationkey") % 3).alias("earlier"))
+    rows = [r.asDict() for r in selection.quota_pool(pool, 12).collect()]  # 12 of each nation
     picked = selection.balanced_quota(rows, 12, 4)
     return spark.createDataFrame([(i, r["category"], r["name"], r["domestic"]) for i, r in enumerate(picked)], "rank int, category string, name string, domestic boolean")
 

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 from dealspark import catalogue
+from dealspark.operators import selection
 from dealspark.operators.dedupe import contains_match
 
 SF = "/root/testdata/sf0.001"
@@ -65,6 +66,20 @@ def test_fuzzy_first_wins_equals_a_greedy_pass(spark):
     assert got == {k for own in kept.values() for k in own}
 
 
+def test_balanced_quota_reads_all_candidates(spark, tmp_path):
+    nations = [(n, f"N{n}", 2 if n in (6, 7) else 1) for n in range(8)]
+    # one nation holds the 300 best balances
+    customers = [(i, f"C{i:04}", 0 if i < 300 else i % 8, float(9000 - i if i < 300 else i * 37 % 800)) for i in range(700)]
+    customers += [customers[-1]] * 15
+    spark.createDataFrame(nations, "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame(customers, "c_custkey int, c_name string, c_nationkey int, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    rows = [{"category": f"N{n}", "name": name, "penalty": -balance, "domestic": n in (6, 7), "earlier": n % 3} for _, name, n, balance in customers]
+    want = [(r["category"], r["name"], r["domestic"]) for r in selection.balanced_quota(rows, 12, 4)]
+    got = catalogue.QUERIES["balanced_quota"](spark, str(tmp_path)).orderBy("rank").collect()
+    assert [(r["category"], r["name"], r["domestic"]) for r in got] == want
+    assert {c for c, _, _ in want} == {f"N{n}" for n in range(8)} and sum(d for _, _, d in want) >= 4
+
+
 def test_entry_has_a_stable_schema(spark):
     first, second = catalogue.flagship(spark, SF), catalogue.flagship(spark, SF)
     assert first.schema == second.schema and first.collect() == second.collect()
