@@ -148,6 +148,17 @@ def _toy(n, word):
     return out
 
 
+def test_toxicity_reads_signs_at_the_end_and_spaced_signs(spark, docs):
+    toy = [(i, t.replace("idiot", "idiot loser kill ass"), bad) for i, t, bad in _toy(240, "idiot")]
+    labels = spark.createDataFrame([(i, bad) for i, _, bad in toy], "doc_id long, toxic int")
+    model = toxicity.learn(docs([(i, t, "en") for i, t, _ in toy]), labels)
+    toxic = ["stone idio+ river", "an a$$ garden", "kil| stone", "stone l 0 s e r river", "i d i 0 t", "los€r music", "l o s € r", "idio+!", "paper i d i o +"]
+    clean = ["garden music!", "paper***", "stone + river", "you lose!", "12 € a", "3 $ 5 ! 7", "idea! idol*", "(river)", "music € 5", "garden $"]
+    got = {r["doc_id"]: r["score"] for r in toxicity.scored(docs([(i, t, "en") for i, t in enumerate(toxic + clean)]), model).collect()}
+    assert [t for i, t in enumerate(toxic) if got[i] < 0.5] == []
+    assert [t for i, t in enumerate(clean, len(toxic)) if got[i] >= 0.5] == []
+
+
 def test_toxicity_restores_disguises(spark, docs):
     rows = _toy(240, "idiot")
     labels = spark.createDataFrame([(i, bad) for i, _, bad in rows], "doc_id long, toxic int")
