@@ -1,22 +1,26 @@
 """Language-model scoring by subword lattices.
 
 A word is a lattice of vocabulary pieces; the weights of all its segmentations are summed by a
-forward recursion in log space. Piece weights start from the scores of an existing vocabulary and are
-re-estimated by expectation and maximisation over the counts of all training words, with those scores as a prior. A word
-that training has seen also has one arc of its own, weighted by its count. A document's marginal
-probability is the product over its words and its end. The word-count base with additive smoothing is returned beside it.
+forward recursion in log space. A document's marginal probability is the product over its words and its end. Two
+sets of piece weights are used. ``vocabulary_score`` takes those of the existing vocabulary as they are: its model ranks
+pieces by merges and has no probabilities, so a piece of rank r weighs 1 / (r + 30). ``score`` departs from them twice,
+as they know nothing of the corpus: they are re-estimated by expectation and maximisation over the counts of all training
+words, with the vocabulary's weights as a prior, and a word that training has seen also has one arc of its own, weighted by its
+count. The word-count base with additive smoothing is returned beside both.
 
 How it runs: words are counted per task and summed by word; each distinct word is scored once. The
 ``HEAD`` most frequent words are broadcast (a fixed number) and cover most tokens where they are read; the rest of the
-tokens travel as packed arrays to buckets of the word table, whose number grows with the corpus, and come back as sums.
+tokens travel as packed arrays to buckets of the word table, whose number grows with the corpus so that a bucket stays
+small, and come back as sums.
 
-Defined cases: null text is scored like an empty one, of which only the end counts; words
-of any length are read; repeated rows get equal scores and count as often as they occur; without training rows all words are
-unknown; other columns don't matter; an empty table gives no rows. Words are told apart by 64-bit hashes.
+Defined cases: null text is scored like an empty one, of which only the end counts; rows without doc_id are scored and keep
+their null; words of any length are read; repeated rows get equal scores and count as often as they occur; without training
+rows all words are unknown; other columns don't matter; an empty table gives no rows. Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import copy
 import functools
 import math
 import uuid
@@ -33,8 +37,10 @@ from dealspark.llm import kernels as K
 from dealspark.session import stored
 
 HEAD, ROUNDS, PRIOR = 65_536, 3, 200.0
-#: Distinct words that a task counts before it hands them on; documents and bytes of text that travel together.
-_COUNTED, _GROUP_DOCS, _GROUP_BYTES = 400_000, 4096, 8_000_000
+#: Distinct words that a task counts before it hands them on.
+_COUNTED = 400_000
+#: Documents, and tokens outside the head, that travel together at most; training tokens for each bucket of words.
+_GROUP_DOCS, _GROUP_TOKENS, _BUCKET_TOKENS = 32_768, 1_000_000, 500_000
 _NEVER = -1e30
 
 
@@ -224,6 +230,8 @@ class Scorer:
 
     def __init__(self, pieces: Pieces, tokens: int, types: int, ends: int):
         self.pieces, self.tokens, self.types, self.ends = pieces, tokens, types, ends
+        self.given = copy.copy(pieces)  # the same pieces with the vocabulary's weights alone
+        self.given.weigh(np.zeros(len(pieces.texts)), 0.0)
         self.end = (ends + 0.5) / (tokens + 1)
         seen = max(0, tokens - ends)
         self.seen = seen
@@ -239,6 +247,10 @@ class Scorer:
         both = np.where(counts > 0, np.logaddexp(spelled, whole), spelled)
         return (both + math.log1p(-self.end)) / math.log(10)
 
+    def vocabulary(self, words: list[bytes]) -> np.ndarray:
+        """As ``model``, by the vocabulary's weights alone."""
+        return (log_probabilities(self.given, words) + math.log1p(-self.end)) / math.log(10)
+
 
 def train(words: DataFrame, path: str) -> Scorer:
     """Totals and re-estimated piece weights from a table of words and training counts."""
@@ -266,111 +278,145 @@ def train(words: DataFrame, path: str) -> Scorer:
 
 
 def _valued(words: DataFrame, scorer: Scorer) -> DataFrame:
-    """h, c, base, model for each word."""
+    """h, c, base, model, given for each word."""
     shared = words.sparkSession.sparkContext.broadcast(scorer)  # the vocabulary and a few numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data, counts in _gathered(batches):
             raw, at = np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])
             h = K.span_hashes(raw, at[:-1], at[1:]).view(np.int64) if len(raw) else np.zeros(len(data), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(counts), pa.array(shared.value.base(counts)), pa.array(shared.value.model(data, counts))], names=["h", "c", "base", "model"])
+            values = (h, counts, shared.value.base(counts), shared.value.model(data, counts), shared.value.vocabulary(data))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in values], names=["h", "c", *_VALUES[1:]])
+
+    return words.where("length(word) > 0").select("word", "c").mapInArrow(run, "h long, c long, base double, model double, given double")
+
+
+#: What is summed over the words of a document.
+_VALUES = ("known", "base", "model", "given")
+_DEALT = "bucket int, grp string, d binary, n binary, " + ", ".join(f"v{k} binary" for k in range(len(_VALUES)))
+_SUMS = ", ".join(f"s{k} binary" for k in range(len(_VALUES)))
+
+
+def _bucket(h: Column, buckets: int) -> Column:
+    return (F.shiftrightunsigned(h, 33) % buckets).cast("int")
+
 
-    return words.where("length(word) > 0").select("word", "c").mapInArrow(run, "h long, c long, base double, model double")
+class _Group:
+    """Documents that travel together: their sums over words of the head, and their other words."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.docs, self.rest = buckets, 0, 0
+        self.ids, self.tokens, self.sums, self.words, self.rows = [], [], [], [], []
+
+    def add(self, ids: pa.Array, tokens: np.ndarray, sums: list[np.ndarray], words: np.ndarray, rows: np.ndarray) -> None:
+        self.ids.append(ids)
+        self.tokens.append(tokens)
+        self.sums.append(sums)
+        self.words.append(words)
+        self.rows.append(rows + self.docs)
+        self.docs, self.rest = self.docs + len(ids), self.rest + len(words)
+
+    def full(self) -> bool:
+        return self.docs + K.BATCH_ROWS > _GROUP_DOCS or self.rest >= _GROUP_TOKENS
+
+    def packed(self) -> pa.RecordBatch:
+        out = []
+        if self.docs:
+            group = uuid.uuid4().hex
+            ids = pa.chunked_array(self.ids, pa.int64())
+            data = ids.fill_null(0).to_numpy().tobytes() + ids.is_null().to_numpy().tobytes()
+            out.append((-1, group, data, np.concatenate(self.tokens).astype(np.int64).tobytes(), *(np.concatenate(x).tobytes() for x in zip(*self.sums, strict=True))))
+            words, rows = np.concatenate(self.words), np.concatenate(self.rows)
+            bucket = ((words.view(np.uint64) >> np.uint64(33)) % np.uint64(self.buckets)).astype(np.int64)
+            order = np.lexsort((words, bucket))
+            words, rows, bucket = words[order], rows[order].astype(np.uint16), bucket[order]
+            fresh = np.append(True, (words[1:] != words[:-1]) | (bucket[1:] != bucket[:-1]))[: len(words)]
+            cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(words)])
+            for a, z in zip(cut, np.append(cut, len(words))[1:], strict=True):
+                own = np.flatnonzero(fresh[a:z])
+                out.append((int(bucket[a]), group, rows[a:z].tobytes(), np.diff(np.append(own, z - a)).astype(np.uint32).tobytes(), words[a:z][own].tobytes(), None, None, None))
+        types = (pa.int32(), pa.string(), *[pa.binary()] * 6)
+        columns = list(zip(*out, strict=True)) or [[]] * len(types)
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["bucket", "grp", "d", "n", *(f"v{k}" for k in range(len(_VALUES)))])
+
+
+def _meet(_, asked: pa.Table, known: pa.Table) -> pa.Table:
+    """Sums over one bucket's words for every group of documents that asks: document, then sums, as arrays."""
+    h = known.column("h").to_numpy()
+    order = np.argsort(h)
+    h, values = h[order], [known.column(x).to_numpy()[order] for x in ("c", *_VALUES[1:])]
+    values[0] = (values[0] > 0).astype(np.float64)
+    out = []
+    for batch in asked.to_batches(max_chunksize=256):
+        for r in batch.to_pylist():
+            times, of = np.frombuffer(r["n"], np.uint32), np.frombuffer(r["d"], np.uint16)
+            at = np.repeat(np.searchsorted(h, np.frombuffer(r["v0"], np.int64)), times)
+            docs, index = np.unique(of, return_inverse=True)
+            out.append((r["grp"], docs.tobytes(), *(np.bincount(index, weights=x[at]).tobytes() for x in values)))
+    types = (pa.string(), *[pa.binary()] * (1 + len(_VALUES)))
+    columns = list(zip(*out, strict=True)) or [[]] * len(types)
+    return pa.Table.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["grp", "d", *(f"s{k}" for k in range(len(_VALUES)))])
 
 
 def score_documents(docs: DataFrame, path: str, training: Column) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row; ``training`` says which rows are learned from."""
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score, vocabulary_score of every row; ``training`` says which rows are learned from."""
     spark = docs.sparkSession
     K.prepare(spark)
     words = stored(_word_counts(docs, training))
     scorer = train(words, path)
     valued = stored(_valued(words, scorer))
     head = valued.orderBy(F.desc("c"), "h").limit(HEAD).toPandas().sort_values("h")
-    head = tuple(head[c].to_numpy() for c in ("h", "c", "base", "model"))
-    shared = spark.sparkContext.broadcast(head)
-    buckets = max(40, scorer.tokens // 4_000_000)
-    end = (float(scorer.base(np.array([scorer.ends]))[0]), math.log10(scorer.end), int(scorer.ends > 0))
+    shared = spark.sparkContext.broadcast((head["h"].to_numpy(), np.stack([(head["c"] > 0).to_numpy(np.float64), *(head[x].to_numpy() for x in _VALUES[1:])])))
+    buckets = max(40, scorer.tokens // _BUCKET_TOKENS)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For some documents at a time: a row with their own sums (bucket -1) and one for each bucket of words that aren't in the head."""
-        h, c, base, model = shared.value
+        h, values = shared.value
+        group = _Group(buckets)
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
             raw, at = K.text_bytes(b.column(1))
-            for i, j, part, offsets in K.slices(raw, at, _GROUP_BYTES):
+            for i, j, part, offsets in K.slices(raw, at):
                 low = K.lower_ascii(part)
                 starts, ends, rows = K.word_spans(low, offsets)
                 own = K.span_hashes(low, starts, ends).view(np.int64)
-                n = j - i
-                tokens = np.bincount(rows, minlength=n)
                 place = np.minimum(np.searchsorted(h, own), max(0, len(h) - 1))
                 hit = h[place] == own if len(h) else np.zeros(len(own), bool)
-                at_head, of = place[hit], rows[hit]
-                sums = [np.bincount(of, weights=x, minlength=n) for x in ((c > 0)[at_head].astype(float), base[at_head], model[at_head])]
-                group = uuid.uuid4().hex
-                pack = [x.tobytes() for x in (ids[i:j].astype(np.int64), tokens.astype(np.int64), *sums)]
-                out = [(-1, group, *pack)]
-                rest, of = own[~hit], rows[~hit]
-                word, index = np.unique(rest, return_inverse=True)
-                bucket = ((word.view(np.uint64) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                rank = np.empty(len(word), np.int64)
-                rank[order] = np.arange(len(word))
-                index = rank[index]
-                by_word = np.argsort(index, kind="stable")
-                index, of = index[by_word], of[by_word]
-                word_cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                token_cut = np.searchsorted(index, word_cut)
-                for k in np.flatnonzero(np.diff(word_cut)):
-                    a, z = token_cut[k], token_cut[k + 1]
-                    out.append((int(k), group, word[order[word_cut[k] : word_cut[k + 1]]].tobytes(), np.diff(np.append(np.searchsorted(index[a:z], np.arange(word_cut[k], word_cut[k + 1])), z - a)).astype(np.uint16 if n < 65536 and z - a < 65536 else np.uint32).tobytes(), of[a:z].astype(np.uint16 if n < 65536 else np.uint32).tobytes(), np.int64(z - a).tobytes(), np.int64(n).tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(list(col), t) for col, t in zip(zip(*out, strict=True), (pa.int32(), pa.string(), *[pa.binary()] * 5), strict=True)], names=["bucket", "grp", "v0", "v1", "v2", "v3", "v4"])
-
-    ddl = "bucket int, grp string, v0 binary, v1 binary, v2 binary, v3 binary, v4 binary"
-    dealt = stored(docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(deal, ddl))
-    table = valued.select((F.shiftrightunsigned("h", 33) % buckets).cast("int").alias("bucket"), "h", "c", "base", "model")
-
-    def meet(_, asked: pa.Table, known: pa.Table) -> pa.Table:
-        """Sums over one bucket's words for every document that asks."""
-        h = known.column("h").to_numpy()
-        order = np.argsort(h)
-        h, values = h[order], [np.asarray(known.column(x).to_numpy(), np.float64)[order] for x in ("c", "base", "model")]
-        values[0] = (values[0] > 0).astype(np.float64)
-        out = []
-        for r in asked.to_pylist():
-            size, n = int(np.frombuffer(r["v3"], np.int64)[0]), int(np.frombuffer(r["v4"], np.int64)[0])
-            word = np.frombuffer(r["v0"], np.int64)
-            times = np.frombuffer(r["v1"], np.uint16 if n < 65536 and size < 65536 else np.uint32).astype(np.int64)
-            of = np.frombuffer(r["v2"], np.uint16 if n < 65536 else np.uint32)
-            at = np.repeat(np.searchsorted(h, word), times)
-            docs_, sums = np.unique(of), [np.bincount(of, weights=x[at], minlength=n) for x in values]
-            out.append((r["grp"], docs_.tobytes(), *[x[docs_].tobytes() for x in sums]))
-        columns = list(zip(*out, strict=True)) or [[]] * 5
-        return pa.Table.from_arrays([pa.array(list(x), t) for x, t in zip(columns, (pa.string(), *[pa.binary()] * 4), strict=True)], names=["grp", "d", "s0", "s1", "s2"])
-
-    sums = dealt.where("bucket >= 0").groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(meet, "grp string, d binary, s0 binary, s1 binary, s2 binary")
-    own = dealt.where("bucket < 0").select("grp", F.col("v0").alias("i"), F.col("v1").alias("n"), F.lit(None).cast("binary").alias("d"), F.col("v2").alias("s0"), F.col("v3").alias("s1"), F.col("v4").alias("s2"))
-    rows = own.unionByName(sums.select("grp", F.lit(None).cast("binary").alias("i"), F.lit(None).cast("binary").alias("n"), "d", "s0", "s1", "s2"))
+                sums = [np.bincount(rows[hit], weights=x[place[hit]], minlength=j - i) for x in values]
+                group.add(b.column(0).slice(i, j - i), np.bincount(rows, minlength=j - i), sums, own[~hit], rows[~hit])
+                if group.full():
+                    yield group.packed()
+                    group = _Group(buckets)
+        yield group.packed()
+
+    dealt = stored(docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(deal, _DEALT))
+    table = valued.select(_bucket(F.col("h"), buckets).alias("bucket"), "h", "c", *_VALUES[1:])
+    sums = dealt.where("bucket >= 0").groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(_meet, f"grp string, d binary, {_SUMS}")
+    named = [F.col(f"v{k}").alias(f"s{k}") for k in range(len(_VALUES))]
+    own = dealt.where("bucket < 0").select("grp", F.col("d").alias("i"), F.col("n"), F.lit(None).cast("binary").alias("d"), *named)
+    rows = own.unionByName(sums.withColumns({"i": F.lit(None).cast("binary"), "n": F.lit(None).cast("binary")}))
+    end = (int(scorer.ends > 0), float(scorer.base(np.array([scorer.ends]))[0]), *[math.log10(scorer.end)] * 2)
     trained = scorer.tokens
 
     def gather(part: pa.Table) -> pa.Table:
         """Add the sums of one group of documents."""
         parts = part.to_pylist()
         first = next(p for p in parts if p["i"] is not None)
-        ids, tokens = np.frombuffer(first["i"], np.int64), np.frombuffer(first["n"], np.int64)
-        total = [np.frombuffer(first[s], np.float64).copy() for s in ("s0", "s1", "s2")]
+        tokens = np.frombuffer(first["n"], np.int64)
+        ids, missing = np.frombuffer(first["i"], np.int64, len(tokens)), np.frombuffer(first["i"], bool, len(tokens), 8 * len(tokens))
+        total = [np.frombuffer(first[f"s{k}"], np.float64).copy() for k in range(len(end))]
         for p in sorted((p for p in parts if p["i"] is None), key=lambda p: p["d"]):
-            at = np.frombuffer(p["d"], np.uint16 if len(ids) < 65536 else np.uint32)
-            for t, s in zip(total, ("s0", "s1", "s2"), strict=True):
-                t[at] += np.frombuffer(p[s], np.float64)
-        known = np.rint(total[0]).astype(np.int64) + end[2]
-        return pa.Table.from_arrays([pa.array(x) for x in (ids, tokens + 1, known, np.full(len(ids), trained), total[1] + end[0], total[2] + end[1])], names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            at = np.frombuffer(p["d"], np.uint16)
+            for k, t in enumerate(total):
+                t[at] += np.frombuffer(p[f"s{k}"], np.float64)
+        known = np.rint(total[0]).astype(np.int64) + end[0]
+        columns = (pa.array(ids, mask=missing), tokens + 1, known, np.full(len(ids), trained), *(t + e for t, e in zip(total[1:], end[1:], strict=True)))
+        return pa.Table.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "vocabulary_score"])
 
-    return rows.groupBy("grp").applyInArrow(gather, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return rows.groupBy("grp").applyInArrow(gather, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double, vocabulary_score double")
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = K.documents(spark, sf_dir)
     held_out = K.remainder(F.col("doc_id"), 10) == 0
     out = score_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), ~held_out)
-    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "vocabulary_score")

@@ -120,19 +120,28 @@ def test_lattice_sums_all_segmentations(spark, docs):
 
 
 def test_lattice_base_scores(spark, docs):
-    table = docs(ODD[:10])
+    wide = 2**53 + 1
+    rows = [*ODD, (wide, "an id beyond the whole numbers of a double", "en")]
     held = kernels.remainder(F.col("doc_id"), 10) == 0
-    got = lattice.score_documents(table, P.path("piece_bpe_32k.model"), ~held).collect()
-    assert len(got) == 10
-    trained = [words(t) for i, t, _ in ODD[:10] if zlib.crc32(str(i).encode()) % 10]
+    training = F.coalesce(~held, F.lit(False))  # a row without id is in no fold
+    path = P.path("piece_bpe_32k.model")
+    got = lattice.score_documents(docs(rows), path, training).collect()
+    key = lambda i: (i is None, i)
+    assert sorted((r["doc_id"] for r in got), key=key) == sorted((i for i, _, _ in rows), key=key)
+    trained = [words(t) for i, t, _ in rows if i is not None and zlib.crc32(str(i).encode()) % 10]
     c = Counter(w for t in trained for w in [*t, ""])
     n, v = sum(c.values()), len(c)
+    given = lattice.vocabulary(path)
+    given.weigh(np.zeros(len(given.texts)), 0.0)
+    end = math.log10((c[""] + 0.5) / (n + 1))
     for r in got:
-        text = next(t for i, t, _ in ODD if i == r["doc_id"])
+        text = next(t for i, t, _ in rows if i == r["doc_id"])
         base = sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in [*words(text), ""])
         assert math.isclose(r["base_score"], base, rel_tol=1e-9) and r["train_tokens"] == n and r["n_tokens"] == len(words(text)) + 1
         assert r["n_known"] == sum(c[w] > 0 for w in [*words(text), ""]) and r["score"] < 0
-    assert lattice.score_documents(docs([]), P.path("piece_bpe_32k.model"), ~held).count() == 0
+        spelled = lattice.log_probabilities(given, [w.encode() for w in words(text)]).sum() / math.log(10)
+        assert math.isclose(r["vocabulary_score"], spelled + end + len(words(text)) * math.log10(1 - 10**end), rel_tol=1e-9)
+    assert lattice.score_documents(docs([]), path, training).count() == 0
 
 
 def _toy(n, word):
