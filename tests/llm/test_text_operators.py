@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -23,8 +24,6 @@ def words(text):
 
 
 def test_word_spans_and_hashes():
-    import pyarrow as pa
-
     raw, at = kernels.text_bytes(pa.array(["ab c", None, "", "c ab\x0bé", "  "]))
     starts, ends, rows = kernels.word_spans(raw, at)
     assert [raw[a:b].tobytes().decode() for a, b in zip(starts, ends)] == ["ab", "c", "c", "ab", "é"]
@@ -35,8 +34,6 @@ def test_word_spans_and_hashes():
 
 @pytest.mark.parametrize("seed", range(3))
 def test_pretokens_and_merges_equal_the_library(seed):
-    import pyarrow as pa
-
     m = bpe.merger(P.path("byte_bpe_50k.tiktoken"))
     reference = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=m.ranks, special_tokens={})
     rng = random.Random(seed)
@@ -168,6 +165,22 @@ def test_toxicity_reads_signs_at_the_end_and_spaced_signs(spark, docs):
     assert [t for i, t in enumerate(clean, len(toxic)) if got[i] >= 0.5] == []
 
 
+def test_toxicity_reads_long_spaced_words(spark, docs):
+    word = "unbelievablestupidnessperson"  # longer than what is learned from spaced words
+    toy = _toy(240, word)
+    labels = spark.createDataFrame([(i, bad) for i, _, bad in toy], "doc_id long, toxic int")
+    model = toxicity.learn(docs([(i, t, "en") for i, t, _ in toy]), labels)
+    whole = np.zeros(1, np.int64), np.array([len(word)])
+    key = toxicity._hashes(np.frombuffer(word.encode(), np.uint8), *whole)
+    model = toxicity.Model(key, np.ones(1) * 9, model.counts, 1.0, -4.0, len(word))  # without its beginnings
+    texts = [" ".join(word), "stone " + " ".join(word) + " river", "a b c " + " ".join(word) + " x y", " ".join(word.replace("i", "1")), " ".join(word[:-1]), "w " * 4000, "a * " * 2000]
+    assert [x >= 0.5 for x in model.scores(pa.array(texts))] == [True] * 4 + [False] * 3
+    for i, t in enumerate(texts[:4]):  # each part of the run, decoded on its own
+        decoder, run = toxicity.Decoder(model.counts), "".join(w for w in t.split() if len(w) == 1)
+        parts = {decoder.restore(run[a:b]) for a in range(len(run)) for b in range(a + 3, len(run) + 1)}
+        assert word in parts and parts >= {x for x, sign in decoder.spaced(run, len(word)) if not sign}, i
+
+
 def test_toxicity_restores_disguises(spark, docs):
     rows = _toy(240, "idiot")
     labels = spark.createDataFrame([(i, bad) for i, _, bad in rows], "doc_id long, toxic int")
