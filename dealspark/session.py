@@ -28,10 +28,12 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary folder only where none is set (tests)."""
+    """The cluster's spark.checkpoint.dir; a temporary folder only where none is set and all runs on this machine (tests)."""
     context = spark.sparkContext
     current = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
     if not current:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = os.path.join(tempfile.gettempdir(), "dealspark-checkpoints")
     if not context.getCheckpointDir():
         context.setCheckpointDir(current)
@@ -44,11 +46,33 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Parquet tables in the shared checkpoint folder that cut lineage: compact, read by column, and dropped when no longer needed."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.base = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+        self.tables: list[tuple[DataFrame, str]] = []
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        path = f"{self.base}/{len(self.tables)}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.tables.append((out, path))
+        return out
+
+    def drop(self, *kept: DataFrame) -> None:
+        """Delete all tables but those that a lazy result still reads."""
+        for df, name in self.tables:
+            if not any(df is k for k in kept):
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.tables = [t for t in self.tables if any(t[0] is k for k in kept)]
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """Cut lineage through a Parquet table in the shared checkpoint folder: compact, and read by column."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """One such table for a result that is read later."""
+    return Scratch(df.sparkSession).stored(df)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
