@@ -1,11 +1,12 @@
 """MinHash near-dedup by an LSH forest, with links confirmed on full shingle sets.
 
-Every tree of the forest orders the texts by a sequence of minimum hashes of its own. Texts
-with a common prefix in a tree are neighbours there. The depth adapts to the region: a
+Every tree of the forest sorts the texts by a sequence of minimum hashes of its own. Texts next to each other there have
+the longest common prefixes. The depth adapts to the region: a
 prefix that few texts share is used as it is, a crowded one is split by the next, longer prefix. Work goes in steps, each
 on distinct shingle sets only:
 
-1. each text is compared with the first text of its regions, which joins most groups of copies at once;
+1. each text is compared with its neighbours in every sorted order, which joins most groups of copies at once (a
+   neighbour across the border of two tasks is left to the next steps, which read regions by key);
 2. regions that still hold several components are compared pair by pair, across components, once they are
    small (descending to longer prefixes where they are not);
 3. regions that stay crowded at full depth are compared with pivots, more of them each turn, until every pair of
@@ -24,7 +25,7 @@ their texts differ the greatest text is the one compared; other columns don't ma
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from dealspark.llm import kernels as K
 from dealspark.llm.components import connected_components
-from dealspark.session import stored
+from dealspark.session import Scratch
 
 HASHES, TREES, DEPTHS = 128, 24, (4, 5, 6, 7, 8)
 #: Largest region that is compared pair by pair.
@@ -154,31 +155,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     """doc_id, n_shingles, component_id, kept for every row: links are pairs of texts of at least ``percent`` similarity."""
     if not 50 <= percent <= 100:
         raise ValueError("the forest is laid out for similarities from 50 percent")
+    scratch = Scratch(docs.sparkSession)
+    stored = scratch.stored
     sets = stored(described_sets(docs, size))
     filled = sets.where("n_shingles > 0 and doc_id is not null")
     groups = stored(filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("node")))
     chosen = filled.join(groups, ["k1", "k2"]).where("doc_id = node").dropDuplicates(["node", "k1", "k2"])
     rows = chosen.select("node", F.posexplode(F.arrays_zip(*[F.col("keys")[i].alias(f"p{d}") for i, d in enumerate(DEPTHS)])))
     rows = stored(rows.select("node", *[F.col("col")[f"p{d}"].alias(f"p{d}") for d in DEPTHS]))
-    first = DEPTHS[0]
-    shared = rows.groupBy(f"p{first}").agg(F.count("*").alias("n"), F.min("node").alias("lead")).where("n > 1")
-    near = stored(rows.join(stored(shared), f"p{first}").drop("n"))
+    first = f"p{DEPTHS[0]}"
+    near = stored(rows.join(stored(rows.groupBy(first).agg(F.count("*").alias("n")).where("n > 1").select(first)), first))
     nodes = stored(near.select("node").distinct())
     sketches = stored(chosen.select("node", "sketch").join(nodes, "node"))
     raw = docs.select(docs["doc_id"].cast("long").alias("node"), docs["text"]).join(nodes, "node")
     texts = stored(raw.groupBy("node").agg(F.max("text").alias("text")))
-
-    deepest = f"p{DEPTHS[-1]}"
-    deep = stored(near.groupBy(deepest).agg(F.count("*").alias("n"), F.min("node").alias("deep")).where("n > 1"))
-    pairs = near.select(F.col("lead").alias("a"), F.col("node").alias("b")).where("a <> b")
-    pairs = pairs.union(near.join(deep, deepest).select(F.col("deep").alias("a"), F.col("node").alias("b")).where("a <> b"))
-    links = stored(_confirmed(texts, _similar(sketches, pairs.distinct(), percent), size, percent))
+    links = stored(_confirmed(texts, _similar(sketches, _neighbours(near).distinct(), percent), size, percent))
     components = connected_components(links)
 
+    deepest = f"p{DEPTHS[-1]}"
     crowded, more = near.select("node", *[f"p{d}" for d in DEPTHS]), None
     crowded = stored(crowded.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")))
     for depth in DEPTHS:
-        unsettled = _unsettled(crowded, f"p{depth}")
+        unsettled = _unsettled(crowded, f"p{depth}", stored)
         small = _across(unsettled.where(F.col("n") <= REGION), f"p{depth}")
         more = small if more is None else more.union(small)
         crowded = stored(unsettled.where(F.col("n") > REGION).drop("n"))
@@ -188,27 +186,48 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         if not found.isEmpty():
             components = connected_components(found.union(components.select(F.col("node").alias("a"), F.col("component").alias("b"))))
         crowded = crowded.select("node", deepest).join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        crowded = stored(_unsettled(stored(crowded), deepest))
+        crowded = stored(_unsettled(stored(crowded), deepest, stored))
         if crowded.isEmpty():
             break
-        pivots = stored(_pivots(crowded, deepest, many))
+        pivots = stored(_pivots(crowded, deepest, many, stored))
         found = stored(_confirmed(texts, _similar(sketches, _met(crowded, pivots, deepest), percent), size, percent))
         crowded = crowded.join(pivots, "node", "left_anti")
         many *= 4
-    named = groups.join(components, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component_id"))
-    out = sets.select("doc_id", "n_shingles", "k1", "k2").join(stored(named), ["k1", "k2"], "left")
+    named = stored(groups.join(components, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component_id")))
+    scratch.drop(sets, named)
+    out = sets.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     out = out.select("doc_id", "n_shingles", own.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _unsettled(rows: DataFrame, key: str) -> DataFrame:
+def _neighbours(rows: DataFrame) -> DataFrame:
+    """Pairs of texts that are next to each other in a sorted order and have a common prefix there.
+
+    A key of depth d hashes the tree and its first d minimum hashes, so that one sort by the keys holds the sorted orders of
+    all trees, and the longest common prefix of two rows is at least as deep as their last equal key.
+    """
+    keys = [f"p{d}" for d in DEPTHS]
+    ordered = rows.select(*keys, "node").repartitionByRange(*keys, "node").sortWithinPartitions(*keys, "node").select(keys[0], "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, node = np.zeros(0, np.int64), np.zeros(0, np.int64)  # the last row of the batch before
+        for b in batches:
+            key, node = np.append(key, b.column(0).to_numpy()), np.append(node, b.column(1).to_numpy())
+            at = np.flatnonzero((key[1:] == key[:-1]) & (node[1:] != node[:-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[at], node[at + 1])), pa.array(np.maximum(node[at], node[at + 1]))], names=["a", "b"])
+            key, node = key[-1:], node[-1:]
+
+    return ordered.mapInArrow(run, "a long, b long")
+
+
+def _unsettled(rows: DataFrame, key: str, stored: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Rows of the regions that hold several components, with the region's size n."""
     sizes = rows.groupBy(key).agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     return rows.join(stored(sizes.select(key, "n")), key)
 
 
-def _pivots(rows: DataFrame, key: str, many: int) -> DataFrame:
+def _pivots(rows: DataFrame, key: str, many: int, stored: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Nodes: about ``many`` rows of each region, and as many of those outside its largest component; all once there are no more.
 
     Each pair of different components has a row outside the largest one, so the region is done when all these were pivots.
