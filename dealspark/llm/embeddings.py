@@ -2,8 +2,9 @@
 
 Every vector is turned by random rotations; the signs of its coordinates are its code, and the inner product of
 the vector with its own code is stored with it as a correction factor. Bands of code bits
-put vectors into buckets of several tables, whose number and width follow the number of vectors so that a
-pair at the threshold shares a bucket with a probability of 1 - ``MISS``. A pair that does is tested in three steps, each on
+put vectors into buckets of several tables. All tables draw on the same bits, so their number is taken from the chance of each
+count of differing bits: a pair at the threshold shares a bucket with a probability of 1 - ``MISS``, a nearer one
+with a higher. A pair that does is tested in three steps, each on
 fewer pairs: the distance of the codes, the unbiased estimate of the inner product (one vector, the other's code and
 factor) with its confidence bound, and the exact cosine in double precision, which alone makes a link.
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,10 @@ from pyspark.sql import functions as F
 
 from dealspark.llm import kernels as K
 from dealspark.llm.components import connected_components
-from dealspark.session import stored, table
+from dealspark.session import Scratch, table
 
 #: Bits of a code at least; the chance to miss a pair at the threshold; standard errors that a bound allows.
-BITS, MISS, SIGMAS = 384, 1e-4, 5.0
+BITS, MISS, SIGMAS = 384, 5e-4, 5.0
 _CODED = "vec_id long, label string, dim int, k1 long, k2 long, vec binary, code array<long>, factor array<double>"
 
 
@@ -99,14 +100,33 @@ def _coded_rows(vectors: DataFrame) -> DataFrame:
     return vectors.select(vectors["vec_id"].cast("long"), vectors["embedding"].cast("array<double>"), vectors["label"].cast("string")).mapInArrow(run, _CODED)
 
 
-def _pairs(nodes: DataFrame, dim: int, count: int, threshold: float) -> DataFrame:
+def tables_needed(bits: int, same: float, width: int, farthest: int, miss: float) -> int:
+    """Tables of ``width`` of the bits each, so that a pair shares a bucket with a probability of 1 - miss.
+
+    ``same`` is the chance that a bit is equal; pairs that differ in more than ``farthest`` bits are lost anyway. The bits of a
+    rotation vary less together than the independent ones that are assumed here.
+    """
+    fact = np.cumsum(np.log(np.maximum(np.arange(bits + 1), 1)))
+    differ = np.arange(farthest + 1)
+    chance = np.exp(fact[bits] - fact[differ] - fact[bits - differ] + differ * math.log(1 - same) + (bits - differ) * math.log(same))
+    left = bits - differ
+    alone = np.where(left >= width, np.exp(fact[left] - fact[np.maximum(left - width, 0)] - fact[bits] + fact[bits - width]), 0.0)
+    lost = max(0.0, 1 - chance.sum())
+    tables = 1
+    while (chance * (1 - alone) ** tables).sum() + lost > miss:
+        tables += 1 + tables // 50
+    return tables
+
+
+def _pairs(nodes: DataFrame, dim: int, count: int, threshold: float, stored: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Pairs that share a bucket of one of the tables and whose codes are near enough."""
     same = 1 - math.acos(threshold) / math.pi
-    width = max(8, math.ceil(math.log2(max(2, count))) - 2)
-    tables = math.ceil(math.log(MISS) / math.log(1 - same**width))
     bits = _blocks(dim) * dim
+    width = min(bits, max(8, math.ceil(math.log2(max(2, count))) - 2))
+    farthest = int(bits * (1 - same) + SIGMAS * math.sqrt(bits * same * (1 - same)))
+    tables = tables_needed(bits, same, width, farthest, MISS)
     rng = np.random.default_rng(11)
-    picks = [sorted(rng.choice(bits, min(width, bits), replace=False).tolist()) for _ in range(tables)]
+    picks = [sorted(rng.choice(bits, width, replace=False).tolist()) for _ in range(tables)]
 
     def bit(i: int):
         at = 8 * ((i % 64) // 8) + 7 - i % 8  # the place in a little-endian number of bit i of packed bytes
@@ -116,7 +136,6 @@ def _pairs(nodes: DataFrame, dim: int, count: int, threshold: float) -> DataFram
     rows = nodes.where(F.col("dim") == dim).select("node", "label", "code", F.explode(keys).alias("key"))
     crowded = stored(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
     rows = stored(rows.join(crowded, "key"))
-    farthest = int(bits * (1 - same) + SIGMAS * math.sqrt(bits * same * (1 - same)))
     a = rows.select("key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("code").alias("ca"))
     b = rows.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("code").alias("cb"))
     apart = sum((F.bit_count(F.col("ca")[i].bitwiseXOR(F.col("cb")[i])) for i in range(1, -(-bits // 64))), F.bit_count(F.col("ca")[0].bitwiseXOR(F.col("cb")[0])))
@@ -152,6 +171,8 @@ def _links(nodes: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of (vec_id, embedding, label)."""
     K.prepare(vectors.sparkSession)
+    scratch = Scratch(vectors.sparkSession)
+    stored = scratch.stored
     rows = stored(_coded_rows(vectors))
     valid = rows.where("k1 is not null")
     groups = stored(valid.groupBy("label", "dim", "k1", "k2").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")))
@@ -161,7 +182,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataF
     links = None
     for r in sizes:
         own = nodes.where(F.col("dim") == r["dim"])
-        found = stored(_links(own, stored(_pairs(nodes, r["dim"], r["n"], threshold)), threshold))
+        found = stored(_links(own, stored(_pairs(nodes, r["dim"], r["n"], threshold, stored)), threshold))
         links = found if links is None else links.union(found)
     if links is None:
         links = vectors.sparkSession.createDataFrame([], "a long, b long")
@@ -170,6 +191,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataF
     components = connected_components(links)
     described = groups.join(partners.withColumnRenamed("a", "node"), "node", "left").join(components, "node", "left")
     described = stored(described.select(*same, (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id")))
+    scratch.drop(rows, described)
     out = rows.select("vec_id", *same).join(described, same, "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
