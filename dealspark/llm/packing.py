@@ -5,9 +5,12 @@ each length there are: at most ``capacity`` numbers, whatever the input's size.
 after another, the longest open length is placed and a subset-sum dynamic program, whose states are the bits
 of one integer, finds the fullest feasible combination of the available lengths for what is left of the bin.
 That combination is removed as often as the counts allow, as the same bin would be found again.
-Pieces are then ranked within their length (in buckets, so that no length is handled by one task)
+Pieces are then ranked within their length (in buckets of row numbers, so that no length or repeated row is handled by one task)
 and a piece's rank says which bin and which place in it are its own.
 
+Strings of special tokens in a text are ordinary text, as the vocabulary's own notes have it: ``encode_special_tokens`` is set, so
+that no text can place a control token in a sequence.
+
 Defined cases: null text is packed like an empty one (its end token alone); longer documents are
 cut at multiples of the capacity and nothing else is; ties and repeated rows each take their own place;
 other columns don't matter; an empty table gives no rows.
@@ -64,7 +67,6 @@ class WordTokens:
             self._add(fresh[i : i + 4096])
         return [b"".join([cache[w] for w in row]) for row in rows]
 
-
     def _add(self, words: list[bytes]) -> None:
         """Encode new words in one call, parted by a control character that is a token of its own."""
         ids = np.array(self.tokenizer.encode((b"\n" + _MARK + b"\n").join(words).decode("utf-8"), add_special_tokens=False).ids, "<u4")
@@ -171,7 +173,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     places = _places(minimum_bin_slack(counts, capacity))
     top = max(counts.values(), default=1)
     buckets = math.ceil(top / max(256, math.isqrt(top)))
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
+    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets)))
     before = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = before.select("length", "bucket", (F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")).alias("base"))
     within = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32"))
