@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealspark.llm import kernels as K
-from dealspark.session import stored
+from dealspark.session import Scratch
 
 HEAD, ROUNDS, PRIOR = 65_536, 3, 200.0
 #: Distinct words that a task counts before it hands them on.
@@ -362,9 +362,10 @@ def score_documents(docs: DataFrame, path: str, training: Column) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score, vocabulary_score of every row; ``training`` says which rows are learned from."""
     spark = docs.sparkSession
     K.prepare(spark)
-    words = stored(_word_counts(docs, training))
+    scratch = Scratch(spark)
+    words = scratch.stored(_word_counts(docs, training))
     scorer = train(words, path)
-    valued = stored(_valued(words, scorer))
+    valued = scratch.stored(_valued(words, scorer))
     head = valued.orderBy(F.desc("c"), "h").limit(HEAD).toPandas().sort_values("h")
     shared = spark.sparkContext.broadcast((head["h"].to_numpy(), np.stack([(head["c"] > 0).to_numpy(np.float64), *(head[x].to_numpy() for x in _VALUES[1:])])))
     buckets = max(40, scorer.tokens // _BUCKET_TOKENS)
@@ -388,7 +389,8 @@ def score_documents(docs: DataFrame, path: str, training: Column) -> DataFrame:
                     group = _Group(buckets)
         yield group.packed()
 
-    dealt = stored(docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(deal, _DEALT))
+    dealt = scratch.stored(docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(deal, _DEALT))
+    scratch.drop(valued, dealt)
     table = valued.select(_bucket(F.col("h"), buckets).alias("bucket"), "h", "c", *_VALUES[1:])
     sums = dealt.where("bucket >= 0").groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(_meet, f"grp string, d binary, {_SUMS}")
     named = [F.col(f"v{k}").alias(f"s{k}") for k in range(len(_VALUES))]
