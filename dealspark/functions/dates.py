@@ -29,6 +29,16 @@ def expected_windows(spark: SparkSession, first: str, last: str) -> DataFrame:
     return days.select(at(F.col("day")).alias("start"), at(F.date_add("day", 7)).alias("end"))
 
 
+def is_weekly_window(start: Column, end: Column) -> Column:
+    """Whether two dates are Fridays a week apart."""
+    return (F.dayofweek(start) == 6) & (F.dayofweek(end) == 6) & (F.datediff(end, start) == 7)
+
+
+def window_name(start: Column | str, end: Column | str) -> Column:
+    """The name of a window's partition."""
+    return F.concat_ws("_", F.date_format(start, "yyyyMMdd"), F.date_format(end, "yyyyMMdd"))
+
+
 def parse_time(text: Column) -> Column:
     """ISO, slash, dot and Chinese dates with or without a clock; RFC 2822 with a numeric or named zone; else null."""
     bare = F.trim(F.coalesce(text, F.lit("")))

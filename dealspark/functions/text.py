@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from dealspark.functions import vocab as V
+
 #: Unicode white space, written out so that other engines can use the same class.
 SPACE = r"[\s\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 #: Markers of a missing value: fixed values of the record format.
@@ -36,6 +38,13 @@ def compact_match_text(text: Column, first_cjk: str = r"\x{4e00}") -> Column:
     return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), rf"[^0-9a-z{first_cjk}-\x{{9fff}}]+", "")
 
 
+def file_name(text: Column, limit: int = 80) -> Column:
+    """A name that every file system takes; never empty."""
+    bare = F.regexp_replace(F.coalesce(text, F.lit("")), r'[\\/:*?"<>|\r\n]+', "_")
+    bare = F.substring(F.regexp_replace(F.regexp_replace(bare, r"^[ ._]+|[ ._]+$", ""), r"\s+", ""), 1, limit)
+    return F.when(bare == "", "case_report").otherwise(bare)
+
+
 def is_placeholder(text: Column, markers: Sequence[str] = PLACEHOLDERS) -> Column:
     return F.lower(F.trim(F.coalesce(text, F.lit("")))).isin(*markers)
 
@@ -56,7 +65,7 @@ def normalize_party(name: Column, suffixes: Sequence[str], placeholders: Sequenc
     """A party's name without bracketed remarks, legal forms and separators; empty if it says nothing."""
     bare = F.regexp_replace(F.coalesce(name, F.lit("")), r"[（(\[【][^）)\]】]*[）)\]】]", "")
     bare = F.regexp_replace(bare, "(?i)(" + "|".join(suffixes) + ")", "")
-    bare = F.regexp_replace(F.lower(bare), r"[\s·,，.。、;；:：&#/_\-]+", "")
+    bare = F.regexp_replace(F.lower(bare), V.SEPARATORS, "")
     return F.when(is_placeholder(bare, placeholders), "").otherwise(bare)
 
 
@@ -71,15 +80,10 @@ def numbers(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(\d+(?:\.\d+)?)")), lambda x: x.cast("double"))
 
 
-def insert_thousands(text: Column) -> Column:
-    """Commas in whole numbers of four digits or more."""
-    return F.regexp_replace(text, r"(?<=\d)(?=(?:\d{3})+(?!\d))", ",")
-
-
 def redact(text: Column) -> Column:
-    """E-mail addresses, bearer tokens, long hexadecimal secrets and card-like numbers replaced by a mark."""
-    for pattern in (r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}", r"(?i)bearer\s+[A-Za-z0-9._\-]+", r"[0-9a-f]{32,}", r"[0-9]{13,16}"):
-        text = F.regexp_replace(text, pattern, "[redacted]")
+    """E-mail addresses, tokens behind the word that announces them, long hexadecimal secrets and card-like numbers replaced by a mark."""
+    for pattern, mark in ((r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}", "[redacted]"), (r"(?i)(bearer\s+)[A-Za-z0-9._\-]+", "$1[redacted]"), (r"[0-9a-f]{32,}", "[redacted]"), (r"[0-9]{13,16}", "[redacted]")):
+        text = F.regexp_replace(text, pattern, mark)
     return text
 
 
