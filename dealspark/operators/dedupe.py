@@ -1,15 +1,12 @@
-"""Exact and fuzzy first-wins deduplication."""
+"""Exact first-wins deduplication; the fuzzy form is in ``identity``."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealspark.session import ship_package
-
 
 def first_wins(df: DataFrame, key: Column, order: Sequence[str | Column]) -> DataFrame:
     """The first row of every key; aggregates before the shuffle, so a frequent key costs one row a task."""
@@ -23,30 +20,3 @@ def ordered_unique(values: Column, limit: int | None = None, width: int | None =
     out = F.array_distinct(F.filter(values, lambda x: x.isNotNull() & (x != "")))
     out = F.slice(out, 1, limit) if limit is not None else out
     return F.transform(out, lambda x: F.substring(x, 1, width)) if width is not None else out
-
-
-def contains_match(left: str, right: str, least: int) -> bool:
-    """Equal, or one inside the other and not shorter than ``least``."""
-    return left == right or (min(len(left), len(right)) >= least and (left in right or right in left))
-
-
-def fuzzy_first_wins(df: DataFrame, block: str, key: str, order: str, least: int) -> DataFrame:
-    """Rows kept by a greedy pass in order: a row goes if its key matches that of a row kept before it.
-
-    The relation isn't transitive, so the pass is sequential within a block; identical keys are reduced natively
-    before it. Choose ``block`` so that matching keys always share one. Rows without a key are dropped.
-    """
-    ship_package(df.sparkSession)
-    exact = first_wins(df.where(F.col(key).isNotNull() & (F.col(key) != "")), F.struct(block, key), [order])
-
-    def keep(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, kept = rows.sort_values(order), []
-        chosen = []
-        for value in rows[key]:
-            fresh = not any(contains_match(value, k, least) for k in kept)
-            chosen.append(fresh)
-            if fresh:
-                kept.append(value)
-        return rows[chosen]
-
-    return exact.groupBy(block).applyInPandas(keep, df.schema)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,17 +18,54 @@ def word_shingles(text: Column, size: int) -> Column:
     return F.transform(F.array(words), runs)[0]  # bound as a variable, so that the text is split once
 
 
+#: Passages up to which the lookup is broadcast, so that the runs of the texts aren't shuffled.
+FEW_PASSAGES = 200_000
+#: Characters by which a passage of few words is looked up.
+RUN = 8
+
+
 def contained_in(texts: DataFrame, passages: DataFrame, text: str, passage: str, key: str, ref: str, size: int = 5) -> DataFrame:
-    """(key, ref) of texts that contain a passage of at least ``size`` + 2 words as it stands.
+    """(key, ref) of texts that contain a passage as it stands; an empty passage is in none.
 
     A passage may begin and end inside words, so its second to ``size`` + 1st words look it up among the word
-    shingles of the texts; the few matches are confirmed by a full containment test.
+    shingles of the texts; one of fewer words is looked up by its first characters among the runs of characters. The few matches
+    are confirmed by a full containment test.
     """
     words = F.filter(F.split(F.col(passage), r"\s+"), lambda w: w != "")
-    wanted = passages.where(F.size(words) >= size + 2).select(F.col(ref), F.col(passage).alias("__passage"), F.xxhash64(F.array_join(F.slice(words, 2, size), " ")).alias("__gram"))
-    offered = texts.select(F.col(key), F.explode(word_shingles(F.col(text), size)).alias("__gram"))
-    found = offered.join(wanted, "__gram").select(key, ref, "__passage").distinct()
-    return found.join(texts.select(F.col(key), F.col(text).alias("__text")), key).where(F.contains("__text", "__passage")).select(key, ref).distinct()
+    wanted = passages.where(F.col(passage) != "").select(F.col(ref), F.col(passage).alias("__passage"), (F.size(words) >= size + 2).alias("__long"), F.least(F.length(passage), F.lit(RUN)).alias("__run"), F.xxhash64(F.array_join(F.slice(words, 2, size), " ")).alias("__gram"))
+    forms = {(r["__long"], 0 if r["__long"] else r["__run"]): r["n"] for r in wanted.groupBy("__long", "__run").agg(F.count("*").alias("n")).collect()}  # 2 * RUN rows at most
+    few = sum(forms.values()) <= FEW_PASSAGES
+    found = []
+    for long, run in sorted(forms):
+        own = wanted.where("__long") if long else wanted.where(~F.col("__long") & (F.col("__run") == run)).withColumn("__gram", F.xxhash64(F.substring("__passage", 1, run)))
+        grams = word_shingles(F.col(text), size) if long else character_runs(F.col(text), run)
+        offered = texts.select(F.col(key), F.explode(grams).alias("__gram"))
+        found.append(offered.join(F.broadcast(own) if few else own, "__gram").select(key, ref, "__passage"))
+    if not found:
+        return texts.select(key).limit(0).join(passages.select(ref).limit(0))
+    met = reduce(DataFrame.union, found).distinct()
+    return met.join(texts.select(F.col(key), F.col(text).alias("__text")), key).where(F.contains("__text", "__passage")).select(key, ref).distinct()
+
+
+def character_runs(text: Column, size: int) -> Column:
+    """64-bit hashes of all distinct runs of ``size`` characters."""
+    text = F.coalesce(text, F.lit(""))
+    places = F.filter(F.sequence(F.lit(1), F.greatest(F.length(text) - (size - 1), F.lit(1))), lambda i: F.length(text) >= size)
+    return F.array_distinct(F.transform(places, lambda i: F.xxhash64(F.substr(text, i, F.lit(size)))))
+
+
+def lowest_within(left: DataFrame, right: DataFrame, group: str, value: str, payload: str, reach: int) -> DataFrame:
+    """(group, value, lowest): for every group and whole-number value of the left side, the lowest payload of right rows whose value is at most ``reach`` away.
+
+    Both sides are first reduced to one row a group and value. Right rows then go to every band of twice the reach that they can
+    matter to (two at most), and a range window inside each band finds the lowest.
+    """
+    width = 2 * reach
+    lows = right.groupBy(group, value).agg(F.min(payload).alias("low"))
+    lows = lows.select(group, value, "low", F.explode(F.array_distinct(F.array(F.floor((F.col(value) - reach) / width), F.floor((F.col(value) + reach) / width)))).alias("band"), F.lit(False).alias("asked"))
+    asked = left.select(group, value).distinct().select(group, value, F.lit(None).cast(lows.schema["low"].dataType).alias("low"), F.floor(F.col(value) / width).alias("band"), F.lit(True).alias("asked"))
+    near = Window.partitionBy(group, "band").orderBy(value).rangeBetween(-reach, reach)
+    return lows.unionByName(asked).withColumn("lowest", F.min("low").over(near)).where("asked and lowest is not null").select(group, value, "lowest")
 
 
 def best_match(candidates: DataFrame, left: str, score: Column, order: Column, least: int, *payload: str) -> DataFrame:
@@ -40,3 +79,14 @@ def fallback_union(primary: DataFrame, secondary: DataFrame) -> DataFrame:
     """The primary rows, or the secondary ones where there is no primary row; decided in the plan, without a driver check."""
     none = primary.limit(1).agg(F.count("*").alias("__n")).where("__n = 0").select(F.lit(1).alias("__use"))
     return primary.unionByName(secondary.join(F.broadcast(none), how="left_semi", on=F.lit(True)))  # one row at most
+
+
+def manifest_matches(documents: DataFrame, records: DataFrame) -> DataFrame:
+    """(id, record) of documents (id, path, stem) and records (record, file, name) that have the path or its last part, or whose name the stem holds: one join for each."""
+    base = lambda c: F.regexp_extract(c, "([^/]*)$", 1)
+    parts = [
+        documents.join(records.where("file is not null"), F.col("path") == F.col("file")).select("id", "record"),
+        documents.withColumn("base", base("path")).join(records.where("file is not null").select("record", base("file").alias("base")), "base").select("id", "record"),
+        contained_in(documents.select("id", "stem"), records.select("record", "name"), "stem", "name", "id", "record"),
+    ]
+    return reduce(DataFrame.union, parts).distinct()

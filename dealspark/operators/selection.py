@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dealspark.session import stored
+
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
@@ -19,16 +21,16 @@ def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
 
 
 def global_position(df: DataFrame, key: str, name: str = "position") -> DataFrame:
-    """0-based position in the order of a unique integer key, without sorting all rows in one task.
+    """0-based position in the order of a unique key, without sorting all rows in one task.
 
-    Rows are counted by ranges of the key; the ranges' first positions come from a window over their counts alone.
+    Rows are dealt to ranges of the key that Spark sizes by a sample, whatever the key's values, and stored with their range; the
+    ranges' first positions come from a window over one count for each of them.
     """
-    width = 4096
-    ranges = df.withColumn("__range", F.floor(F.col(key) / width))
+    ranges = stored(df.repartitionByRange(key).withColumn("__range", F.spark_partition_id()))
     counts = ranges.groupBy("__range").agg(F.count("*").alias("__n"))
     before = counts.select("__range", (F.sum("__n").over(Window.orderBy("__range")) - F.col("__n")).alias("__before"))
     own = F.row_number().over(Window.partitionBy("__range").orderBy(key)) - 1
-    return ranges.withColumn("__own", own).join(before, "__range").withColumn(name, F.col("__before") + F.col("__own")).drop("__range", "__own", "__before")
+    return ranges.withColumn("__own", own).join(F.broadcast(before), "__range").withColumn(name, F.col("__before") + F.col("__own")).drop("__range", "__own", "__before")  # a row a range
 
 
 def quota_pool(df: DataFrame, count: int) -> DataFrame:

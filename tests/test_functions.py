@@ -1,6 +1,7 @@
 """Expressions and operators on fixtures that the driver tables lack: CJK text, odd URLs and dates, ties, nulls."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,13 +33,12 @@ def test_party_loses_legal_form_and_remarks(spark):
     assert values(spark, strip, ["甲乙股份有限公司（SZ:000001）", "Acme, Inc", "未披露", None]) == ["甲乙", "acme", "", ""]
 
 
-def test_thousands_and_sentences(spark):
-    assert values(spark, text.insert_thousands, ["1100 万元 2500", "999", None]) == ["1,100 万元 2,500", "999", None]
+def test_sentences(spark):
     assert values(spark, lambda c: text.sentences(c, 3), ["甲收购乙。完成了！No"]) == [["甲收购乙。", "完成了！"]]
 
 
 def test_redaction_and_cells(spark):
-    assert values(spark, text.redact, ["mail a.b@c.org now", "Bearer abc.DEF", None]) == ["mail [redacted] now", "[redacted]", None]
+    assert values(spark, text.redact, ["mail a.b@c.org now", "Bearer abc.DEF", None]) == ["mail [redacted] now", "Bearer [redacted]", None]
     assert values(spark, text.safe_cell, ["=1+1", "a=1"]) == ["'=1+1", "a=1"]
 
 
@@ -92,16 +92,28 @@ def test_first_wins_and_gates(spark):
     assert [r["g"] for r in df.orderBy("i").select(expectations.first_failing(gates).alias("g")).collect()] == ["accepted", "late", "no key", "no key"]
 
 
-def test_fuzzy_first_wins_is_greedy(spark):
-    df = spark.createDataFrame([(1, "b", "abcdef"), (2, "b", "xabcdefx"), (3, "b", "abc"), (4, "b", "abcdef"), (5, "b", None), (6, "c", "abcdef")], "i int, b string, k string")
-    assert sorted(r["i"] for r in dedupe.fuzzy_first_wins(df, "b", "k", "i", 6).collect()) == [1, 3, 6]
-
-
 def test_containment_join(spark):
     words = " ".join(f"w{i}" for i in range(30))
-    texts = spark.createDataFrame([(1, f"x{words}y"), (2, words.replace("w9", "q")), (3, ""), (4, None)], "i int, t string")
-    passages = spark.createDataFrame([(7, words), (8, "too short")], "j int, p string")
-    assert [tuple(r) for r in joins.contained_in(texts, passages, "t", "p", "i", "j").collect()] == [(1, 7)]
+    texts = spark.createDataFrame([(1, f"x{words}y"), (2, words.replace("w9", "q")), (3, ""), (4, None), (5, "is this too  short"), (6, "ab"), (7, "xx too short!")], "i int, t string")
+    passages = spark.createDataFrame([(7, words), (8, "too short"), (9, "b"), (10, ""), (11, None), (12, "is this too  short"), (13, "a much longer passage than that"), (14, "w8 w9 w10 w11")], "j int, p string")
+    got = {tuple(r) for r in joins.contained_in(texts, passages, "t", "p", "i", "j").collect()}
+    assert got == {(i, j) for i, t in texts.collect() for j, p in passages.collect() if t and p and p in t}
+    assert joins.contained_in(texts, passages.limit(0), "t", "p", "i", "j").count() == 0 == joins.contained_in(texts.limit(0), passages, "t", "p", "i", "j").count()
+
+
+def test_lowest_within(spark):
+    rng = random.Random(2)
+    left = [(rng.randrange(3), rng.randrange(-300, 300)) for _ in range(60)]
+    right = [(rng.randrange(3), rng.randrange(-300, 300), i) for i in range(80)]
+    found = joins.lowest_within(spark.createDataFrame(left, "g int, v long"), spark.createDataFrame(right, "g int, v long, p int"), "g", "v", "p", 25)
+    want = {(g, v): min(near) for g, v in left if (near := [p for h, w, p in right if h == g and abs(w - v) <= 25])}
+    assert {(r["g"], r["v"]): r["lowest"] for r in found.collect()} == want
+
+
+def test_manifests_match_by_path_name_or_title(spark):
+    docs = spark.createDataFrame([(1, "a/x.docx", "甲收购乙报告"), (2, "b/y.docx", "nothing")], "id int, path string, stem string")
+    records = spark.createDataFrame([(1, "a/x.docx", ""), (2, "old/y.docx", None), (3, None, "收购乙"), (4, "z.docx", "丙"), (5, None, "")], "record int, file string, name string")
+    assert {tuple(r) for r in joins.manifest_matches(docs, records).collect()} == {(1, 1), (2, 2), (1, 3)}
 
 
 @pytest.mark.parametrize("rows", [[], [(1,)]])
@@ -111,8 +123,10 @@ def test_fallback_union(spark, rows):
 
 
 def test_global_position(spark):
-    df = spark.createDataFrame([(i,) for i in (9000, 1, 5000, 4095, 4096)], "k long")
-    assert [r["position"] for r in selection.global_position(df, "k").orderBy("k").collect()] == [0, 1, 2, 3, 4]
+    keys = [9000, 1, 5000, 4095, 4096, *(hash(str(i)) % 2**62 for i in range(500))]  # dense and sparse
+    placed = selection.global_position(spark.createDataFrame([(k,) for k in keys], "k long"), "k")
+    assert [r["position"] for r in placed.orderBy("k").collect()] == list(range(len(keys)))
+    assert selection.global_position(spark.createDataFrame([], "k long"), "k").count() == 0
 
 
 def test_stream_counts_events_once(spark, tmp_path):
