@@ -28,5 +28,15 @@ def violations(parts: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, tagged)
 
 
-def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
-    return [c for c in required if c not in df.columns]
+def completion(rows: Column | str, kinds: Sequence[str]) -> Column:
+    """Status of a batch from its count of rows (null: there is none) and a flag for each kind of issue."""
+    n = F.col(rows) if isinstance(rows, str) else rows
+    failed = F.concat_ws(",", *[F.when(F.col(k), k) for k in kinds])
+    return F.when(n.isNull(), "missing").when(failed != "", F.concat(F.lit("validation_failed:"), failed)).when(n <= 0, "no_case_rows").otherwise(F.concat(F.lit("valid:case_rows="), n.cast("string")))
+
+
+def required(df: DataFrame, checks: Sequence[tuple[str, Column]]) -> DataFrame:
+    """The rows as they are; the job fails with the check's name at the first row of which a check isn't true."""
+    for name, passes in checks:
+        df = df.where(F.assert_true(F.coalesce(passes, F.lit(False)), name).isNull())
+    return df
