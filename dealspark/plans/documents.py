@@ -27,7 +27,7 @@ def amount_extract(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "pii_redact",
-    "SELECT doc_id, sha1(t) AS digest, CAST((length(t) - length(replace(t, '[redacted]', ''))) // 10 AS BIGINT) AS marks FROM (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+\\-]+@[A-Za-z0-9.\\-]+\\.[A-Za-z]{2,}', '[redacted]', 'g'), '(?i)bearer\\s+[A-Za-z0-9._\\-]+', '[redacted]', 'g'), '[0-9a-f]{32,}', '[redacted]', 'g'), '[0-9]{13,16}', '[redacted]', 'g') AS t FROM documents)",
+    "SELECT doc_id, sha1(t) AS digest, CAST((length(t) - length(replace(t, '[redacted]', ''))) // 10 AS BIGINT) AS marks FROM (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+\\-]+@[A-Za-z0-9.\\-]+\\.[A-Za-z]{2,}', '[redacted]', 'g'), '(?i)(bearer\\s+)[A-Za-z0-9._\\-]+', '\\1[redacted]', 'g'), '[0-9a-f]{32,}', '[redacted]', 'g'), '[0-9]{13,16}', '[redacted]', 'g') AS t FROM documents)",
 )
 def pii_redact(spark: SparkSession, d: str) -> DataFrame:
     clean = table(spark, d, "documents").select("doc_id", T.redact(F.col("text")).alias("t"))
@@ -86,27 +86,6 @@ def doc_slices(spark: SparkSession, d: str) -> DataFrame:
     return turns.select("conv_id", F.array_join(F.transform(F.slice("m", 1, 2), lambda x: x["role"]), ",").alias("early"), F.element_at("m", -1)["role"].alias("last"))
 
 
-@query("pack_chunks")
-def pack_chunks(spark: SparkSession, d: str) -> DataFrame:
-    """Paragraphs of each text packed greedily, in order, into chunks of at most 1900 characters."""
-    start = F.struct(F.array().cast("array<int>").alias("sizes"), F.lit(0).alias("open"))
-
-    def add(state, paragraph):
-        size = F.length(paragraph)
-        fits = (state["open"] > 0) & (state["open"] + 1 + size <= 1900)
-        closed = F.when(fits | (state["open"] == 0), state["sizes"]).otherwise(F.concat(state["sizes"], F.array(state["open"])))
-        return F.struct(closed.alias("sizes"), F.when(fits, state["open"] + 1 + size).otherwise(size).alias("open"))
-
-    paragraphs = F.filter(F.split("text", "\n"), lambda p: p != "")
-    packed = F.aggregate(paragraphs, start, add, lambda s: F.when(s["open"] > 0, F.concat(s["sizes"], F.array(s["open"]))).otherwise(s["sizes"]))
-    return table(spark, d, "documents").select("doc_id", F.posexplode(packed).alias("chunk", "size"))
-
-
-@query("thousands")
-def thousands(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", F.sha1(T.insert_thousands(F.col("text"))).alias("digest"))
-
-
 @query(
     "document_issues",
     "SELECT issue, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN length(text) < 200 THEN 'too short' END, CASE WHEN length(text) > 4000 THEN 'too long' END, CASE WHEN NOT regexp_matches(text, '[0-9]') THEN 'no figure' END, CASE WHEN contains(text, '!!') THEN 'loud tone' END, CASE WHEN n_chars <> length(text) THEN 'wrong size' END], lambda x: x IS NOT NULL)) AS issue FROM documents) GROUP BY 1",
