@@ -6,8 +6,8 @@ date, with the entries that were active then. Kinds: d (a domain and all below i
 parts of a path). The most particular entry decides: p before h before d, then the longer pattern, then allow
 before block, then the list's name.
 
-A capture offers one key for each domain, host and path prefix of its URL, so matching is an equi-join on
-keys with a range on dates; a hot host's rows are split by Spark's skew handling, since both sides of the join are plain shuffles.
+A capture offers one key for each domain and host of its URL, and for each path prefix as deep as any entry, so matching is an
+equi-join on keys with a range on dates; a hot host's rows are split by Spark's skew handling, since both sides of the join are plain shuffles.
 
 Defined cases: a URL that is null or has no host matches nothing and passes; an entry that is
 added again while active stays active; added and removed on one date is not active; entries and captures without a
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from dealspark.session import table
 
-_HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
+_HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^/?#@\]]*\]|[^/?#:@]+)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)"
 
 
@@ -31,12 +31,12 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, _HOST, 1))
 
 
-def url_keys(url: Column) -> Column:
-    """Keys d:, h: and p: under which list entries can match a URL."""
+def url_keys(url: Column, depth: int) -> Column:
+    """Keys d:, h: and p: under which list entries can match a URL, with path prefixes of at most ``depth`` parts."""
     name = host(url)
     labels = F.split(name, r"\.")
     domains = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))), lambda i: F.concat(F.lit("d:"), F.array_join(F.slice(labels, i, F.size(labels)), ".")))
-    parts = F.filter(F.split(F.regexp_extract(url, _PATH, 1), "/"), lambda x: x != "")
+    parts = F.slice(F.filter(F.split(F.regexp_extract(url, _PATH, 1), "/"), lambda x: x != ""), 1, depth)
     prefixes = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), lambda i: F.concat(F.lit("p:"), name, F.lit("/"), F.array_join(F.slice(parts, F.lit(1), i), "/")))
     paths = F.when(F.size(parts) > 0, prefixes).otherwise(F.array().cast("array<string>"))
     return F.when(name != "", F.array_distinct(F.concat(domains, F.array(F.concat(F.lit("h:"), name)), paths))).otherwise(F.array().cast("array<string>"))
@@ -53,7 +53,8 @@ def judged(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """page_id, url, fetched, verdict (allow, block, pass), entry, list, valid_from for every capture (page_id, url, fetched)."""
     own = captures.select("page_id", "url", "fetched")
     spans = validity(entries).select(F.concat_ws(":", "kind", "pattern").alias("key"), "list", "action", "kind", "valid_from", "valid_to")
-    offered = own.distinct().select("page_id", "url", "fetched", F.explode(url_keys(F.col("url"))).alias("key"))
+    depth = entries.where("kind = 'p'").agg(F.max(F.size(F.split("pattern", "/"))).alias("n")).first()["n"] or 0  # deeper prefixes match no entry
+    offered = own.distinct().select("page_id", "url", "fetched", F.explode(url_keys(F.col("url"), depth)).alias("key"))
     active = (F.col("fetched") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("fetched") < F.col("valid_to")))
     found = offered.join(spans, "key").where(active)
     rank = F.struct(
