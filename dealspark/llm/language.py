@@ -6,7 +6,7 @@ through time, on the driver, from a bounded sample: about ``PER_LANGUAGE`` texts
 by a hash of doc_id, and ``WINDOWS`` windows of each. Prediction reads every byte of every text.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as is every text where
-nothing could be learned; texts shorter than a window are read as one shorter window; ties of
+nothing could be learned; texts shorter than a window are read, and learned from, as one shorter window; ties of
 probability go to the language that sorts first; repeated rows get equal results; other columns don't matter; an
 empty table gives no rows.
 """
@@ -115,18 +115,20 @@ class Network:
         e /= total[:, None]
         return e.reshape(steps, n, -1)
 
-    def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean cross entropy over all positions, and its gradients by backpropagation through time."""
+    def gradients(self, x: np.ndarray, y: np.ndarray, valid: np.ndarray | None = None) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean cross entropy over all valid positions, and its gradients by backpropagation through time."""
         tapes: dict[str, list] = {"f": [], "b": []}
-        both = np.concatenate([self._run(x, None, d, tapes[d]) for d in "fb"], 2)
+        mask = np.ones(x.shape, np.float32) if valid is None else valid
+        both = np.concatenate([self._run(x, valid, d, tapes[d]) for d in "fb"], 2)
         e = both @ self.p["out"] + self.p["bias"]
         e -= e.max(2, keepdims=True)
         prob = np.exp(e)
         prob /= prob.sum(2, keepdims=True)
         steps, n, _ = prob.shape
-        loss = float(-np.log(prob[:, np.arange(n), y] + 1e-9).mean())
+        places = max(1.0, float(mask.sum()))
+        loss = float(-(np.log(prob[:, np.arange(n), y] + 1e-9) * mask).sum() / places)
         prob[:, np.arange(n), y] -= 1
-        prob /= steps * n
+        prob *= mask[:, :, None] / places
         g = {"out": both.reshape(-1, 2 * self.hidden).T @ prob.reshape(steps * n, -1), "bias": prob.sum((0, 1))}
         above = prob @ self.p["out"].T
         size = self.hidden
@@ -135,7 +137,7 @@ class Network:
             g[f"re_{d}"] = np.zeros_like(recurrent)
             into = np.empty((steps, n, 3 * size), np.float32)
             for t, h, z, r, c, u in reversed(tapes[d]):
-                grad = above[t][:, k * size : (k + 1) * size] + carry
+                grad = (above[t][:, k * size : (k + 1) * size] + carry) * mask[t][:, None]
                 dc = grad * (1 - z) * (1 - c * c)
                 dz = grad * (h - c) * z * (1 - z)
                 dr = dc * u * r * (1 - r)
@@ -187,8 +189,8 @@ def has_letter(texts: pa.Array) -> np.ndarray:
     return found
 
 
-def train(windows: np.ndarray, names: list[str], steps: int = STEPS, seed: int = 5) -> Network:
-    """Adam on windows (n, WINDOW) of bytes with the language of each; batches draw languages alike."""
+def train(windows: np.ndarray, names: list[str], sizes: np.ndarray | None = None, steps: int = STEPS, seed: int = 5) -> Network:
+    """Adam on windows (n, WINDOW) of bytes with the language of each and how many bytes are its own; batches draw languages alike."""
     languages = sorted(set(names))
     net = Network(languages, seed=seed)
     if not languages:
@@ -200,7 +202,8 @@ def train(windows: np.ndarray, names: list[str], steps: int = STEPS, seed: int =
     for step in range(1, steps + 1):
         y = rng.integers(0, len(languages), BATCH)
         chosen = np.array([rng.choice(by_language[k]) for k in y])
-        _, g = net.gradients(np.ascontiguousarray(windows[chosen].T), y)
+        valid = None if sizes is None or (sizes[chosen] == WINDOW).all() else (np.arange(WINDOW)[:, None] < sizes[chosen]).astype(np.float32)
+        _, g = net.gradients(np.ascontiguousarray(windows[chosen].T), y, valid)
         scale = min(1.0, 1.0 / (1e-9 + float(np.sqrt(sum((v * v).sum() for v in g.values())))))
         rate = RATE * (1 - step / (steps + 1)) + 1e-4
         for k, v in g.items():
@@ -231,13 +234,13 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network:
                 text = raw[at[k] : at[k + 1]]
                 for w, start in enumerate(np.unique(np.linspace(0, max(0, len(text) - WINDOW), WINDOWS).astype(int))):
                     piece = text[start : start + WINDOW]
-                    if len(piece) == WINDOW:
+                    if len(piece):
                         out.append((ids[k], w, name, piece.tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(list(zip(*out, strict=True)) or [[]] * 4, (pa.int64(), pa.int32(), pa.string(), pa.binary()), strict=True)], names=["i", "w", "lang", "bytes"])
 
     sample = rows.where(drawn).select("doc_id", "text", "lang").mapInArrow(cut, "i long, w int, lang string, bytes binary").toPandas().sort_values(["i", "w"])
-    windows = np.frombuffer(b"".join(sample["bytes"]), np.uint8).reshape(-1, WINDOW)
-    return train(windows, sample["lang"].tolist())
+    windows = np.frombuffer(b"".join(x.ljust(WINDOW, b"\0") for x in sample["bytes"]), np.uint8).reshape(-1, WINDOW)
+    return train(windows, sample["lang"].tolist(), sample["bytes"].map(len).to_numpy())
 
 
 def identified(docs: DataFrame, net: Network) -> DataFrame:

@@ -216,14 +216,15 @@ def test_language_gradients_and_und(spark, docs):
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
     rng = np.random.default_rng(0)
     x, y = rng.integers(0, 5, (6, 4)).astype(np.uint8), np.array([0, 1, 1, 0])
-    _, g = net.gradients(x, y)
+    valid = (np.arange(6)[:, None] < [6, 2, 6, 5]).astype(float)
+    _, g = net.gradients(x, y, valid)
     for k in net.p:
         at = tuple(0 if k == "bias" else rng.integers(0, min(3, s)) for s in net.p[k].shape)
         old, e = net.p[k][at], 1e-3
         net.p[k][at] = old + e
-        up = net.gradients(x, y)[0]
+        up = net.gradients(x, y, valid)[0]
         net.p[k][at] = old - e
-        down = net.gradients(x, y)[0]
+        down = net.gradients(x, y, valid)[0]
         net.p[k][at] = old
         assert math.isclose((up - down) / (2 * e), g[k][at], rel_tol=2e-2, abs_tol=1e-5)
     rows = [(i, ("der die und ist nicht " if i % 2 else "the and of is not ") * 8, "de" if i % 2 else "en") for i in range(60)]
@@ -233,3 +234,142 @@ def test_language_gradients_and_und(spark, docs):
     assert [got[i]["lang_pred"] for i in (101, 102, 103, 104)] == ["und"] * 4
     assert all(0 <= r["score"] <= 1 for r in got.values())
     assert language.learn(docs([])).languages == []
+
+
+def test_language_of_short_texts_is_learned(spark, docs):
+    rows = [(i, "der die das" if i % 2 else "the of and", "de" if i % 2 else "en") for i in range(80)]
+    net = language.learn(docs(rows))
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identified(docs(rows), net).collect()}
+    assert got == {i: k for i, _, k in rows}
+
+
+def test_language_equals_a_plain_network(spark, docs):
+    """Byte by byte, gate by gate, in plain floats."""
+    net = language.Network(["a", "b", "c"], hidden=4, seed=9)
+    p, h = {k: v.astype(float) for k, v in net.p.items()}, 4
+    sigmoid = lambda v: 1 / (1 + math.exp(-v))
+
+    def states(window, d):
+        state, out = [0.0] * h, [None] * len(window)
+        for t in range(len(window)) if d == "f" else reversed(range(len(window))):
+            into, back = p[f"in_{d}"][window[t]], [sum(state[i] * p[f"re_{d}"][i][j] for i in range(h)) for j in range(3 * h)]
+            z, r = [sigmoid(into[j] + back[j]) for j in range(h)], [sigmoid(into[h + j] + back[h + j]) for j in range(h)]
+            c = [math.tanh(into[2 * h + j] + r[j] * back[2 * h + j]) for j in range(h)]
+            state = out[t] = [c[j] + z[j] * (state[j] - c[j]) for j in range(h)]
+        return out
+
+    def plain(text):
+        data, total = text.encode(), np.zeros(3)
+        for i in range(0, len(data), language.WINDOW):
+            window = data[i : i + language.WINDOW]
+            for f, b in zip(states(window, "f"), states(window, "b"), strict=True):
+                e = np.exp(np.array(f + b) @ p["out"] + p["bias"])
+                total += e / e.sum()
+        return total / len(data)
+
+    texts = ["hello world, wie geht's", "ñandú " * 30, "x", "a" * 64, "b" * 65]
+    for r in language.identified(docs([(i, t, None) for i, t in enumerate(texts)]), net).collect():
+        want = plain(texts[r["doc_id"]])
+        assert r["lang_pred"] == "abc"[int(want.argmax())] and math.isclose(r["score"], want.max(), abs_tol=1e-4)
+    assert language.identified(docs([]), net).count() == 0
+
+
+def test_quality_equals_a_plain_description(spark, docs):
+    """Counted one text at a time, then ranked by the learned weights."""
+    texts = [t for _, t, _ in ODD] + ["SHOUT! It's | 12 ## ok\nnext line, next line, next", "a a a b b c"]
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["stone", "RIVER!!", "cloud,", "a#b"]) for _ in range(30 + i)), None) for i in range(40)]
+    labels = spark.createDataFrame([(i, int(rng.random() < 0.5)) for i in range(40)], "doc_id long, quality int")
+    model = quality.learn(docs(rows), labels)
+
+    def share(part, whole):
+        return part / max(1, whole)
+
+    def plain(text):
+        data = (text or "").encode()
+        w = [x for x in re.split(rb"[\x20\x09-\x0d]+", data) if x]
+        n, kinds = len(w), Counter()
+        for b in data:
+            c = chr(b) if b < 128 else "x"
+            kinds["upper" if "A" <= c <= "Z" else "digit" if c.isdigit() else "stop" if c in ".,;:?'\"()-" else "junk" if c in "#$%&*@^~<>{}[]=+_\\/`" else "bar" if c == "|" else "bang" if c == "!" else "line" if c in "\n\r" else "blank" if c in " \t\v\f" else "x"] += 1
+        sizes, pairs = [len(x) for x in w], list(zip(w, w[1:]))
+        mean = share(sum(sizes), n)
+        shout = sum(sum(65 <= b <= 90 for b in x) >= 2 for x in w)
+        soiled = sum(any(chr(b) in "#$%&*@^~<>{}[]=+_\\/`|!" for b in x) for x in w)
+        top = lambda c: max(c.values(), default=0)
+        return [
+            math.log1p(n), share(kinds["upper"], len(data)), share(kinds["digit"], len(data)), *(share(kinds[k], n) for k in ("stop", "junk", "bar", "bang")), math.log1p(kinds["line"]), share(kinds["line"], n), share(kinds["blank"], n),
+            mean, math.sqrt(max(0, share(sum(x * x for x in sizes), n) - mean**2)), share(len(set(w)), n), math.log1p(n) * share(len(set(w)), n), share(top(Counter(w)), n),
+            share(len(set(pairs)), len(pairs)), share(top(Counter(pairs)), len(pairs)), share(sum(a == b for a, b in pairs), len(pairs)), share(shout, n), share(soiled, n),
+        ]
+
+    got = quality.scored(docs([(i, t, None) for i, t in enumerate(texts)]), model).collect()
+    for r in got:
+        z = [min(4, max(-4, (x - m) / s)) for x, m, s in zip(plain(texts[r["doc_id"]]), model.mean, model.spread, strict=True)]
+        rank = sum(a * b for a, b in zip(z + [v * v for v in z], model.weights, strict=True))
+        assert math.isclose(r["score"], 1 / (1 + math.exp(-min(30, max(-30, model.scale * (rank - model.threshold))))), rel_tol=1e-6)
+    assert len(got) == len(texts) and quality.scored(docs([]), model).count() == 0
+
+
+def test_toxicity_equals_a_plain_scorer(spark, docs):
+    rows = _toy(240, "idiot")
+    labels = spark.createDataFrame([(i, bad) for i, _, bad in rows], "doc_id long, toxic int")
+    model = toxicity.learn(docs([(i, t, "en") for i, t, _ in rows]), labels)
+    weight = dict(zip(model.hashes.tolist(), model.weights.tolist(), strict=True))
+
+    def key(word):
+        data = np.frombuffer(word, np.uint8)
+        return int(toxicity._hashes(data, np.array([0]), np.array([len(data)]))[0])
+
+    def plain(text):  # without disguise: words and their beginnings, the most telling one
+        best = 0.0
+        for word in re.findall(rb"[a-z\x80-\xff]+", (text or "").lower().encode()):
+            keys = [key(word)] if len(word) >= 3 else []
+            keys += [key(word[:n]) ^ n for n in (4, 5) if len(word) > n]
+            best = max([best, *(weight.get(k, 0.0) for k in keys)])
+        return 1 / (1 + math.exp(-min(30, max(-30, model.slope * best + model.offset))))
+
+    texts = [t for _, t, _ in rows[:40]] + [None, "", "idiot", "idio", "idiotic stone", "Idiot, river", "stone river"]
+    got = toxicity.scored(docs([(i, t, None) for i, t in enumerate(texts)]), model).collect()
+    assert len(got) == len(texts) and all(math.isclose(r["score"], plain(texts[r["doc_id"]]), rel_tol=1e-9) for r in got)
+    assert toxicity.scored(docs([]), model).count() == 0
+
+
+def test_pieces_equal_the_tokenizer(spark, docs):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    t.encode_special_tokens = True  # as the vocabulary's notes have it: such strings in a text are ordinary text
+    special = "a <|startoftext|> b <|endoftext|>c \x02 \x02x <|endoftext|>" * 9
+    rows = [*ODD, (20, special, "en"), (21, "UPPER Case, don't stop! 12,345 ünïcode 😀" * 40, "en"), *[(22, "same words again " * 30, "en")] * 40]
+    capacity = 100
+    got = sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in packing.pack(docs(rows), P.path("word_bpe_49k.json"), capacity).collect()))
+    want = []
+    for i, text, _ in rows:
+        ids = [*t.encode(text or "", add_special_tokens=False).ids, 1]
+        want += [(i is None, i or 0, k, k * capacity, len(part), zlib.crc32(np.array(part, "<u4").tobytes())) for k in range(-(-len(ids) // capacity)) if (part := ids[k * capacity : (k + 1) * capacity])]
+    assert got == sorted(want)
+
+
+def test_media_equals_plain_sums(spark, docs):
+    """Pictures built pixel by pixel: the stored form, area means and the difference hash."""
+    rows = [*ODD[:8], (30, "The quick brown fox. " * 37, None), (31, "x" * 64, None)]
+    got = {r["doc_id"]: r for r in media.media_digests(docs(rows)).collect()}
+    for i, text, _ in rows:
+        data = (text or "").encode()
+        data += bytes(-len(data) % 64 or 64 * (not data))
+        pixels = [data[k : k + 64] for k in range(0, len(data), 64)]
+        head = b"P5\n64 %d\n255\n" % len(pixels)
+        if len(pixels) % 2:
+            assert got[i]["media_sha256"] == hashlib.sha256(head + data).hexdigest() and got[i]["media_bytes"] == len(head) + len(data)
+
+        def area(r, c, h=len(pixels), pixels=pixels):
+            y0, y1, x0, x1 = r * h / 8, (r + 1) * h / 8, c * 64 / 9, (c + 1) * 64 / 9
+            return sum(pixels[y][x] * max(0, min(y + 1, y1) - max(y, y0)) * max(0, min(x + 1, x1) - max(x, x0)) for y in range(int(y0), min(h, math.ceil(y1))) for x in range(int(x0), min(64, math.ceil(x1)))) / ((y1 - y0) * (x1 - x0))
+
+        small = [[area(r, c) for c in range(9)] for r in range(8)]
+        bits = "".join(str(int(round(row[c + 1], 6) > round(row[c], 6))) for row in small for c in range(8))
+        assert got[i]["feature"] == f"{int(bits, 2):016x}"
+    tiles = {r["doc_id"]: r for r in media.media_tiles(docs(rows), 8, 9).collect()}
+    assert all(hashlib.sha256(bytes(tiles[i]["tile"])).hexdigest() == got[i]["tile_sha256"] and hashlib.sha256(bytes(tiles[i]["media"])).hexdigest() == got[i]["media_sha256"] for i in got)
+    assert media.media_digests(docs([])).count() == 0
