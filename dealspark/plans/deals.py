@@ -10,7 +10,7 @@ from dealspark.functions import cjk as C
 from dealspark.functions import signals as S
 from dealspark.functions import text as T
 from dealspark.functions import vocab as V
-from dealspark.operators import cases, expectations, identity, selection
+from dealspark.operators import cases, completions, expectations, identity, selection
 from dealspark.plans.filings import filings, filings_sql
 
 # The oracles' side: the same fixed values, in the other engine's expressions.
@@ -337,3 +337,11 @@ def case_dedupe(spark: SparkSession, d: str) -> DataFrame:
 )
 def name_forms(spark: SparkSession, d: str) -> DataFrame:
     return filings(spark, d).select("id", C.compact_name(F.col("acquirer")).alias("compact"))
+
+
+@query("completed_deals")
+def completed_deals(spark: SparkSession, d: str) -> DataFrame:
+    """Completed deals of the filings from mid-1996 on that no older filing had."""
+    old = F.col("o_orderdate") < F.lit("1996-06-01").cast("timestamp_ntz")
+    f = filings(spark, d, "title", "summary", "url", "region", "body").withColumn("published", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"))
+    return completions.completed_deals(f.where(~old), _keyed(spark, d).where(old)).select("id", "kind", "case_name", "acquirer", "target", "category", "deal_value", "status")

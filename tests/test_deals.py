@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dealspark.functions import cjk as C
 from dealspark.functions import dates
 from dealspark.functions import signals as S
-from dealspark.operators import articles, cases, expectations, facts, identity, paging
+from dealspark.operators import articles, cases, completions, expectations, facts, identity, paging
 
 
 def values(spark, expression, inputs):
@@ -237,3 +237,26 @@ def test_windows_and_checks(spark):
     assert expectations.required(rows, [("any", F.lit(True))]).count() == 4
     with pytest.raises(Exception, match="not enough"):
         expectations.required(rows, [("not enough", F.col("n") > 0)]).collect()
+
+
+def test_completed_deals_by_kind(spark):
+    head = "证券代码：600001 证券简称：星河股份 星河科技股份有限公司 关于"
+    rows = [
+        (1, "关于重大资产购买之标的资产完成过户的公告", f"{head}收购的公告。公司购买甲方持有的东方材料有限公司 60%股权。标的资产已完成过户，交易对价12亿元。"),
+        (2, "关于资产置换完成交割的公告", f"{head}资产置换的公告。置入的资产为北方能源集团持有的南海油气有限公司100%股权及相关权利，置出资产为旧资产。资产已完成交割。"),
+        (3, "关于控股股东股份完成过户的公告", f"{head}控股股东变更的公告。公司控股股东变更为西部投资有限公司，股份已完成过户，转让价款5亿元。"),
+        (4, "关于东海资本要约收购结果公告", f"{head}要约收购的公告。要约收购期限届满，过户已完成，要约价格6.5元/股。"),
+        (5, "关于股份转让完成过户的公告", f"{head}股份转让的公告。转让给南方实业有限公司，股份转让完成过户，占公司总股本的8.5%。"),
+        (6, "关于股份转让完成过户的公告", f"{head}股份转让的公告。转让给北方实业有限公司，股份转让完成过户，占公司总股本的1.5%。"),  # too small
+        (7, "关于股份转让完成过户的公告", f"{head}股份转让的公告。转让给南方实业有限公司，股份转让完成过户，占公司总股本的8.5%。"),  # the same deal
+        (8, "独立财务顾问关于完成过户的核查意见", rows_text := f"{head}收购的公告。公司收购东方材料有限公司 60%股权，已完成过户。"),  # advisers' paper
+        (9, "关于完成过户的公告", "拟收购，尚未完成。"), (10, "关于完成过户的公告", None), (11, "年度股东大会决议公告", rows_text),
+    ]
+    df = spark.createDataFrame([(i, t, "", f"https://static.cninfo.com.cn/{i}.pdf", "中国", f"2026-03-{i:02}T09:00:00", b) for i, t, b in rows], "id int, title string, summary string, url string, region string, published string, body string")
+    got = {r["id"]: r for r in completions.completed_deals(df).collect()}
+    assert {i: r["kind"] for i, r in got.items()} == {1: "asset_acquisition", 2: "asset_swap", 3: "control_transfer", 4: "tender_offer", 7: "share_transfer"}
+    assert {i: (r["acquirer"], r["target"]) for i, r in got.items()} == {1: ("星河科技股份有限公司", "东方材料有限公司60%股权"), 2: ("星河科技股份有限公司", got[2]["target"]), 3: ("西部投资有限公司", "星河科技股份有限公司"), 4: ("东海资本", "星河科技股份有限公司"), 7: ("南方实业有限公司", "星河股份8.5%股份")}
+    assert "南海油气有限公司100%股权" in got[2]["target"] and got[7]["category"] == "上市公司+PE" and "6.5元" in got[4]["deal_value"] and got[3]["status"] == "2026-03-03；已完成过户/交割"
+    known = spark.createDataFrame([(["party:西部投资->星河科技"],)], "keys array<string>")
+    assert 3 not in {r["id"] for r in completions.completed_deals(df, known).collect()}
+    assert completions.completed_deals(df.limit(0)).count() == 0
