@@ -23,7 +23,8 @@ def counted_once(spark: SparkSession, path: str) -> DataFrame:
     """Run the stream over all files that are there and return its table."""
     found = spark.read.parquet(path)
     folder, _, name = path.rpartition("/")
-    single = [f.rpartition("/")[2] for f in found.inputFiles()] == [name]  # a stream reads folders only
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    single = file.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(file).isFile()  # a stream reads folders only
     reader = spark.readStream.schema(found.schema)
     events = reader.option("pathGlobFilter", name).parquet(folder) if single else reader.parquet(path)
     run = uuid.uuid4().hex
