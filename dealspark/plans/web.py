@@ -47,7 +47,15 @@ def html_first_link(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", U.first_link(F.col("html")).alias("link"), title.alias("title"))
 
 
-@query("html_text")
+_BARE = "coalesce(html, '')"
+for _tag in ("script", "style", "noscript", "svg", "iframe"):
+    _BARE = f"regexp_replace({_BARE}, '(?is)<{_tag}\\b.*?</{_tag}\\s*>', ' ', 'g')"
+_BARE = f"regexp_replace(regexp_replace({_BARE}, '(?s)<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')"
+for _entity, _sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+    _BARE = f"replace({_BARE}, '{_entity}', '{_sign}')"
+
+
+@query("html_text", f"SELECT page_id, length(t) AS size, sha1(t) AS digest FROM (SELECT page_id, trim(regexp_replace({_BARE}, '{T.SPACE}', ' ', 'g')) AS t FROM pages)")
 def html_text(spark: SparkSession, d: str) -> DataFrame:
     text = U.visible_text(F.col("html"))
     return table(spark, d, "pages").select("page_id", F.length(text).alias("size"), F.sha1(text).alias("digest"))
