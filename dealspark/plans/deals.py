@@ -10,7 +10,7 @@ from dealspark.functions import cjk as C
 from dealspark.functions import signals as S
 from dealspark.functions import text as T
 from dealspark.functions import vocab as V
-from dealspark.operators import cases, completions, expectations, identity, selection
+from dealspark.operators import cases, completions, expectations, identity, reconcile, selection
 from dealspark.plans.filings import filings, filings_sql
 
 # The oracles' side: the same fixed values, in the other engine's expressions.
@@ -345,3 +345,12 @@ def completed_deals(spark: SparkSession, d: str) -> DataFrame:
     old = F.col("o_orderdate") < F.lit("1996-06-01").cast("timestamp_ntz")
     f = filings(spark, d, "title", "summary", "url", "region", "body").withColumn("published", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"))
     return completions.completed_deals(f.where(~old), _keyed(spark, d).where(old)).select("id", "kind", "case_name", "acquirer", "target", "category", "deal_value", "status")
+
+
+@query("reconciled_urls")
+def reconciled_urls(spark: SparkSession, d: str) -> DataFrame:
+    """Every third filing as a model's case row, without a sure address, against the other filings of its batch of 60 as raw items."""
+    f = filings(spark, d, "title", "summary", "url", "source_name", "why").withColumns({"batch": F.floor(F.col("id") / 60), "published": F.date_format("o_orderdate", "yyyy-MM-dd")})
+    rows = f.where("id % 3 = 0").select("batch", "id", F.when(F.col("id") % 2 == 0, F.col("url")).otherwise("-").alias("url"), "source_name", F.lit("-").alias("published"), "acquirer", "target", F.concat_ws(" ", "case_name", "why").alias("description"))
+    items = f.where("id % 3 <> 0").select("batch", F.col("id").alias("place"), "url", "title", "summary", "source_name", F.lit("收购").alias("query"), "published")
+    return reconcile.reconciled(rows, items)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dealspark.functions import cjk as C
 from dealspark.functions import dates
 from dealspark.functions import signals as S
-from dealspark.operators import articles, cases, completions, expectations, facts, identity, paging
+from dealspark.operators import articles, cases, completions, expectations, facts, identity, paging, reconcile
 
 
 def values(spark, expression, inputs):
@@ -260,3 +260,40 @@ def test_completed_deals_by_kind(spark):
     known = spark.createDataFrame([(["party:西部投资->星河科技"],)], "keys array<string>")
     assert 3 not in {r["id"] for r in completions.completed_deals(df, known).collect()}
     assert completions.completed_deals(df.limit(0)).count() == 0
+
+
+def test_reconciled_addresses_against_all_pairs_of_a_batch(spark):
+    rng = random.Random(3)
+    parties, hosts, sources = ["甲乙科技", "丙丁材料", "acme corp", "戊己"], ["a.com", "www.b.com", "c.org"], ["巨潮资讯", "巨潮资讯网", "reuters", ""]
+    word = lambda: rng.choice(["收购", "股权转让", "merger", "deal value", "完成交割", "2026"])
+    url = lambda: rng.choice([f"https://{rng.choice(hosts)}/{rng.choice(['x', 'y/', 'z?q=1'])}", "https://a.com/", "-", ""])
+    cases_ = [(b, i, url(), rng.choice(sources), rng.choice(["-", "2026-01-01"]), rng.choice(parties), rng.choice([*parties, "未披露"]), f"{word()} {word()} {word()}") for b in range(3) for i in range(12)]
+    items = [(b, i, url(), f"{rng.choice(parties)} {word()}", f"{rng.choice(parties)}{word()}", rng.choice(sources), word(), "2026-02-02") for b in range(3) for i in range(15)]
+    c = spark.createDataFrame(cases_, "batch int, id int, url string, source_name string, published string, acquirer string, target string, description string")
+    r = spark.createDataFrame(items, "batch int, place int, url string, title string, summary string, source_name string, query string, published string")
+    compact = lambda t: re.sub(r"[^0-9a-z\u4e00-\u9fff]+", "", t.lower())
+    host = lambda u: re.sub(r"^www\.", "", m.group(1).lower()) if (m := re.match(r"https?://([^/]+)", u)) else ""
+    party = lambda t: "" if t == "未披露" else compact(re.sub("corp", "corp", t))
+
+    def points(case, item):
+        text, total = compact(" ".join((item[3], item[4], item[5], item[6]))), 0
+        total += 6 * bool(host(case[2]) and host(case[2]) == host(item[2]))
+        a, b = compact(case[3]), compact(item[5])
+        total += 3 * bool(a and b and (a in b or b in a))
+        total += sum(5 for p in case[5:7] if len(party(p)) >= 3 and party(p) in text)
+        return total + sum(1 for t in re.findall(r"[a-z0-9]{4,}|[\u4e00-\u9fff]{2,}", case[7].lower()) if len(compact(t)) >= 3 and compact(t) in text)
+
+    want = {}
+    for case in cases_:
+        own = [i for i in items if i[0] == case[0] and re.match("https?://", i[2]) and i[2] != "https://a.com/"]
+        if any(i[2].rstrip("/") == case[2].rstrip("/") for i in own):
+            want[case[:2]] = case[2:5]
+            continue
+        best = max(own, key=lambda i: (points(case, i), -i[1]), default=None)
+        if best and points(case, best) >= 8:
+            want[case[:2]] = (best[2], case[3] if case[3] not in ("", "-") else best[5] or "-", case[4] if case[4] != "-" else best[7])
+        else:
+            want[case[:2]] = ("-", case[3], case[4])
+    got = {(x["batch"], x["id"]): (x["url"], x["source_name"], x["published"]) for x in reconcile.reconciled(c, r).collect()}
+    assert got == want and len({v[0] for v in want.values()}) > 3
+    assert reconcile.reconciled(c.limit(0), r).count() == 0 and {x["url"] for x in reconcile.reconciled(c, r.limit(0)).collect()} == {"-"}
