@@ -9,7 +9,7 @@ words, with the vocabulary's weights as a prior, and a word that training has se
 count. The word-count base with additive smoothing is returned beside both.
 
 How it runs: words are counted per task and summed by word; each distinct word is scored once. The
-``HEAD`` most frequent words are broadcast (a fixed number) and cover most tokens where they are read; the rest of the
+``HEAD`` most frequent words at most are broadcast and cover most tokens where they are read; the rest of the
 tokens travel as packed arrays to buckets of the word table, whose number grows with the corpus so that a bucket stays
 small, and come back as sums.
 
@@ -358,6 +358,18 @@ def _meet(_, asked: pa.Table, known: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["grp", "d", *(f"s{k}" for k in range(len(_VALUES)))])
 
 
+def _head(valued: DataFrame) -> DataFrame:
+    """The most frequent words, at most ``HEAD``: those from a count on, which a histogram of counts gives, so that no task and not the driver gets more."""
+    step = F.floor(F.log2(F.col("c") + 1) * 16)
+    left, least = HEAD, 1 << 30
+    for r in sorted(valued.where("c > 0").groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), reverse=True):  # 16 rows for each doubling of counts
+        left -= r["n"]
+        if left < 0:
+            break
+        least = r["step"]
+    return valued.where((F.col("c") > 0) & (step >= least))
+
+
 def score_documents(docs: DataFrame, path: str, training: Column) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score, vocabulary_score of every row; ``training`` says which rows are learned from."""
     spark = docs.sparkSession
@@ -366,7 +378,7 @@ def score_documents(docs: DataFrame, path: str, training: Column) -> DataFrame:
     words = scratch.stored(_word_counts(docs, training))
     scorer = train(words, path)
     valued = scratch.stored(_valued(words, scorer))
-    head = valued.orderBy(F.desc("c"), "h").limit(HEAD).toPandas().sort_values("h")
+    head = _head(valued).toPandas().sort_values("h")
     shared = spark.sparkContext.broadcast((head["h"].to_numpy(), np.stack([(head["c"] > 0).to_numpy(np.float64), *(head[x].to_numpy() for x in _VALUES[1:])])))
     buckets = max(40, scorer.tokens // _BUCKET_TOKENS)
 
