@@ -55,7 +55,7 @@ class Scratch:
         self.tables: list[tuple[DataFrame, str]] = []
 
     def stored(self, df: DataFrame) -> DataFrame:
-        path = f"{self.base}/{len(self.tables)}"
+        path = f"{self.base}/{uuid.uuid4().hex}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.tables.append((out, path))
