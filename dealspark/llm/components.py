@@ -17,7 +17,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Each round points every node's larger neighbours at its smallest one (large star), then its smaller
     neighbours and itself (small star), until every link leads to a root. Both steps aggregate minima by
     node before any join; no neighbourhood is ever gathered. A node is a hub if more than 2 n / ``HUBS`` of the n links
-    (and more than 1000) meet there, so there are fewer than ``HUBS`` of them. Null ends and loops are ignored.
+    (and more than 64) meet there, so there are fewer than ``HUBS`` of them. Null ends and loops are ignored.
     """
     links = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct()
     links = durable(links)
@@ -25,7 +25,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         seen = _described(links)
         if not seen["open"]:
             break
-        many = max(1000, 2 * seen["n"] // HUBS)
+        many = max(64, 2 * seen["n"] // HUBS)
         hubs = seen["most"] > many
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("u", "m"))

@@ -9,12 +9,12 @@ on distinct shingle sets only:
    neighbour across the border of two tasks is left to the next steps, which read regions by key);
 2. regions that still hold several components are compared pair by pair, across components, once they are
    small (descending to longer prefixes where they are not);
-3. regions that stay crowded at full depth are compared with pivots, more of them each turn, until every pair of
-   different components has been compared: a text that was a pivot leaves its regions, and a region ends when the
-   texts left in it are one component.
+3. regions that stay crowded at full depth are dealt out in blocks, and every two blocks are compared in a task of their
+   own, all pairs at once: the number of shingles that two texts share is an entry of a matrix product. A task hands on
+   only links that join components it had not joined yet, so that no step ever holds the pairs of a large region.
 
-A two-bit sketch of the signature drops pairs that are far below the threshold (by more than five
-standard errors); every other pair is confirmed on the two full sets before it becomes a link.
+In the first two steps a two-bit sketch of the signature drops pairs that are far below the threshold (by more than five
+standard errors). Every link is confirmed on the two full sets.
 
 Defined cases: null, empty and wordless texts have the empty set and link with nothing; texts
 with fewer words than a shingle have their whole sequence as one shingle; rows without doc_id link with nothing and are kept; identical sets (copies) share a
@@ -39,6 +39,8 @@ from dealspark.session import Scratch
 HASHES, TREES, DEPTHS = 128, 24, (4, 5, 6, 7, 8)
 #: Largest region that is compared pair by pair.
 REGION = 48
+#: Texts of a block of a crowded region, bytes of their texts, and shingles that are counted at once.
+BLOCK, BLOCK_BYTES, _COLUMNS = 1024, 16_000_000, 4096
 #: Standard errors by which a sketch must miss the threshold before its pair is dropped.
 MARGIN = 5.0
 _SETS = "doc_id long, n_shingles long, k1 long, k2 long, sketch array<long>, keys array<array<long>>"
@@ -169,6 +171,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     sketches = stored(chosen.select("node", "sketch").join(nodes, "node"))
     raw = docs.select(docs["doc_id"].cast("long").alias("node"), docs["text"]).join(nodes, "node")
     texts = stored(raw.groupBy("node").agg(F.max("text").alias("text")))
+    scratch.drop(sets, groups, near, sketches, texts)
     links = stored(_confirmed(texts, _similar(sketches, _neighbours(near).distinct(), percent), size, percent))
     components = connected_components(links)
 
@@ -181,18 +184,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         more = small if more is None else more.union(small)
         crowded = stored(unsettled.where(F.col("n") > REGION).drop("n"))
     found = stored(_confirmed(texts, _similar(sketches, more.distinct(), percent), size, percent))
-    many = 1
-    while True:
+    scratch.drop(sets, groups, texts, crowded, found)
+    if not found.isEmpty():
+        components = connected_components(found.union(components.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    crowded = crowded.select("node", deepest).join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    crowded = stored(_unsettled(stored(crowded), deepest, stored))
+    if not crowded.isEmpty():
+        found = stored(_block_links(crowded, texts, deepest, size, percent, stored))
         if not found.isEmpty():
             components = connected_components(found.union(components.select(F.col("node").alias("a"), F.col("component").alias("b"))))
-        crowded = crowded.select("node", deepest).join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        crowded = stored(_unsettled(stored(crowded), deepest, stored))
-        if crowded.isEmpty():
-            break
-        pivots = stored(_pivots(crowded, deepest, many, stored))
-        found = stored(_confirmed(texts, _similar(sketches, _met(crowded, pivots, deepest), percent), size, percent))
-        crowded = crowded.join(pivots, "node", "left_anti")
-        many *= 4
     named = stored(groups.join(components, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component_id")))
     scratch.drop(sets, named)
     out = sets.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
@@ -202,7 +202,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def _neighbours(rows: DataFrame) -> DataFrame:
-    """Pairs of texts that are next to each other in a sorted order and have a common prefix there.
+    """Pairs of texts that are next to each other in a sorted order and have a common prefix there, and of each with the first text of its prefix.
+
+    The latter keep the links of a group short, so that its components are found in few rounds.
 
     A key of depth d hashes the tree and its first d minimum hashes, so that one sort by the keys holds the sorted orders of
     all trees, and the longest common prefix of two rows is at least as deep as their last equal key.
@@ -211,12 +213,18 @@ def _neighbours(rows: DataFrame) -> DataFrame:
     ordered = rows.select(*keys, "node").repartitionByRange(*keys, "node").sortWithinPartitions(*keys, "node").select(keys[0], "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, node = np.zeros(0, np.int64), np.zeros(0, np.int64)  # the last row of the batch before
+        key, node, lead = (np.zeros(0, np.int64) for _ in range(3))  # the last row of the batch before, and the first one of its prefix
         for b in batches:
             key, node = np.append(key, b.column(0).to_numpy()), np.append(node, b.column(1).to_numpy())
-            at = np.flatnonzero((key[1:] == key[:-1]) & (node[1:] != node[:-1]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[at], node[at + 1])), pa.array(np.maximum(node[at], node[at + 1]))], names=["a", "b"])
-            key, node = key[-1:], node[-1:]
+            start = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+            first = np.repeat(node[start], np.diff(np.append(start, len(key))))
+            if len(lead):
+                first[: start[1] if len(start) > 1 else len(key)] = lead[0]
+            at = np.flatnonzero(key[1:] == key[:-1])
+            left, right = np.concatenate([node[at], first]), np.concatenate([node[at + 1], node])
+            apart = left != right
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(left, right)[apart]), pa.array(np.maximum(left, right)[apart])], names=["a", "b"])
+            key, node, lead = key[-1:], node[-1:], first[-1:]
 
     return ordered.mapInArrow(run, "a long, b long")
 
@@ -227,24 +235,78 @@ def _unsettled(rows: DataFrame, key: str, stored: Callable[[DataFrame], DataFram
     return rows.join(stored(sizes.select(key, "n")), key)
 
 
-def _pivots(rows: DataFrame, key: str, many: int, stored: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Nodes: about ``many`` rows of each region, and as many of those outside its largest component; all once there are no more.
+def _block_links(rows: DataFrame, texts: DataFrame, key: str, size: int, percent: int, stored: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links between different components of crowded regions, enough of them to join all that any pair of texts joins."""
+    members = _groups(rows, key, stored).join(texts, "node")
+    sized = stored(members.withColumn("bytes", F.octet_length("text")))
+    blocks = sized.groupBy("kind", "grp").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("blocks"))
+    dealt = sized.join(blocks, ["kind", "grp"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    met = met.select("kind", "grp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "component", "text")
+
+    def compare(group: pa.Table) -> pa.Table:
+        a, b = _joining_links(group.column("own").to_numpy(), group.column("node").to_numpy(), group.column("component").to_numpy(), list(shingle_sets(group.column("text"), size)), percent)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return met.groupBy("kind", "grp", "low", "high").applyInArrow(compare, "a long, b long").distinct()
+
+
+def _groups(rows: DataFrame, key: str, stored: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(kind, grp, node, component): the crowded regions, or, where it takes fewer rows to compare them at once, all regions that overlap as one group.
 
-    Each pair of different components has a row outside the largest one, so the region is done when all these were pivots.
+    The trees find much the same crowd, so that most of its pairs share many regions. A group of n texts is read once for each of its
+    blocks, in the one form and in the other.
     """
-    parts = rows.groupBy(key, "component").agg(F.count("*").alias("own"))
-    regions = parts.groupBy(key).agg(F.max_by("component", F.struct("own", "component")).alias("largest"), (F.sum("own") - F.max("own")).alias("outside"))
-    place = F.pmod(F.xxhash64("node", F.lit(many)), F.lit(1 << 20)) / (1 << 20)  # the same in every region
-    chosen = (place * F.col("n") < many) | (F.col("component") != F.col("largest")) & (place * F.col("outside") < many)
-    return rows.join(stored(regions), key).where(chosen).select("node").distinct()
-
-
-def _met(rows: DataFrame, pivots: DataFrame, key: str) -> DataFrame:
-    """Pairs of the pivots with the rows of other components in all their regions; a large region is dealt out in shares."""
-    shares = F.ceil(F.col("n") / (4 * REGION))
-    dealt = rows.select(key, "node", "component", F.pmod(F.xxhash64("node"), shares).alias("share"))
-    other = rows.join(pivots, "node").select(key, F.col("node").alias("a"), F.col("component").alias("of"), F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)).alias("share"))
-    return dealt.join(other, [key, "share"]).where("of <> component").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    reads = lambda n: n * F.ceil(n / BLOCK)
+    regions = stored(rows.groupBy(key).agg(F.count("*").alias("n"), F.min("node").alias("lead")))
+    edges = rows.join(regions, key).select(F.col("lead").alias("a"), F.col("node").alias("b"))
+    spread = stored(connected_components(edges).withColumnRenamed("component", "grp"))
+    apart = regions.join(spread.withColumnRenamed("node", "lead"), "lead").groupBy("grp").agg(F.sum(reads(F.col("n"))).alias("apart"))
+    at_once = spread.groupBy("grp").agg(F.count("*").alias("n")).join(apart, "grp").select("grp", (reads(F.col("n")) <= F.col("apart")).alias("at_once"))
+    tagged = stored(rows.join(spread, "node").join(at_once, "grp"))
+    whole = tagged.where("at_once").select(F.lit(1).alias("kind"), "grp", "node", "component").dropDuplicates(["node"])
+    return whole.union(tagged.where("not at_once").select(F.lit(0), F.col(key), "node", "component"))
+
+
+def _joining_links(block: np.ndarray, node: np.ndarray, component: np.ndarray, sets: list[np.ndarray], percent: int) -> tuple[list[int], list[int]]:
+    """Links between the texts of two blocks (or inside one) that join components, without those whose ends are joined by others."""
+    order = np.argsort(block, kind="stable")
+    first = int((block == block.min()).sum()) if block.min() != block.max() else 0  # rows of the first block; 0: there is but one
+    sizes = np.array([len(sets[i]) for i in order])
+    owner = np.repeat(np.arange(len(order)), sizes)
+    values, column = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
+    shared = np.bincount(column, minlength=len(values)) > 1
+    place = np.cumsum(shared) - 1
+    owner, column = owner[shared[column]], place[column[shared[column]]]
+    by_column = np.argsort(column, kind="stable")
+    owner, column = owner[by_column], column[by_column]
+    common = np.zeros((first or len(order), len(order) - first), np.float32)
+    edges = np.searchsorted(column, np.arange(0, int(shared.sum()) + _COLUMNS, _COLUMNS))
+    for k, (x, y) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        part = np.zeros((len(order), _COLUMNS), np.float32)
+        part[owner[x:y], column[x:y] - k * _COLUMNS] = 1
+        common += (part[:first] if first else part) @ part[first:].T
+    common = common.astype(np.int64)
+    left, right = np.arange(first or len(order)), np.arange(first, len(order))
+    both = sizes[left][:, None].astype(np.int64) + sizes[right][None, :]
+    own = component[order]
+    linked = (100 * common >= percent * (both - common)) & (own[left][:, None] != own[right][None, :])
+    root: dict[int, int] = {}
+
+    def top(c: int) -> int:
+        while (up := root.get(c, c)) != c:
+            root[c] = c = root.get(up, up)
+        return c
+
+    out: tuple[list[int], list[int]] = ([], [])
+    for i, j in zip(*np.nonzero(linked), strict=True):
+        x, y = top(int(own[i])), top(int(own[first + j]))
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            pair = sorted((int(node[order[i]]), int(node[order[first + j]])))
+            out[0].append(pair[0])
+            out[1].append(pair[1])
+    return out
 
 
 def _across(rows: DataFrame, key: str) -> DataFrame:

@@ -1,8 +1,10 @@
+import math
 import random
 import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from dealspark.llm import components, embeddings, minhash, urls
 from tests.llm.conftest import ODD
@@ -41,6 +43,33 @@ def test_components(spark):
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_a_hub(spark):
+    star = [(0, i) for i in range(1, 200)] + [(300 + i, 300) for i in range(1, 100)] + [(150, 350), (500, 501)]
+    got = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(star, "a long, b long")).collect()}
+    assert got == {i: 0 for i in [*range(200), *range(300, 400)]} | {500: 500, 501: 500}
+
+
+def test_blocks_join_what_pairs_join():
+    rng = np.random.default_rng(8)
+    base = rng.integers(1, 1 << 40, 60).astype(np.uint64)
+    sets = []
+    for i in range(70):
+        own = base.copy()
+        own[rng.choice(60, rng.integers(1, 8), replace=False)] = rng.integers(1 << 41, 1 << 50, 1)
+        sets.append(np.unique(own))
+    node, component = np.arange(100, 170), np.where(np.arange(70) % 5 == 0, 100, np.arange(100, 170))
+    linked = lambda a, b: component[a] == component[b] or 100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b]))
+    want = grouped(list(range(70)), linked)
+    for block in (np.zeros(70, np.int64), np.arange(70) % 2):
+        groups = [np.arange(70)] if not block.any() else [np.flatnonzero(block == 0), np.flatnonzero(block == 1), np.arange(70)]
+        links = set()
+        for rows in groups:
+            a, b = minhash._joining_links(block[rows], node[rows], component[rows], [sets[i] for i in rows], 85)
+            assert len(a) < len(set(component[rows].tolist())) and all(linked(x - 100, y - 100) for x, y in zip(a, b))
+            links |= {frozenset((x - 100, y - 100)) for x, y in zip(a, b)}
+        assert grouped(list(range(70)), lambda a, b: component[a] == component[b] or frozenset((a, b)) in links) == want
+
+
 @pytest.mark.parametrize(("size", "percent"), [(3, 85), (5, 80)])
 def test_minhash_against_all_pairs(spark, docs, size, percent):
     rng = random.Random(size)
@@ -128,6 +157,36 @@ def test_embeddings_against_all_pairs(spark):
     assert embeddings.near_duplicate_vectors(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dim", [16, 64, 384])
+def test_embedding_recall_at_the_threshold(spark, dim):
+    """Pairs planted just above the threshold among vectors that have no other partner."""
+    rng = np.random.default_rng(dim)
+    rows = []
+    for i in range(400):
+        a = rng.normal(size=dim)
+        a /= np.linalg.norm(a)
+        b = rng.normal(size=dim)
+        b -= (a @ b) * a
+        b /= np.linalg.norm(b)
+        c = 0.9301 + 0.0099 * rng.random()
+        rows += [(2 * i, a.tolist(), 1), (2 * i + 1, (c * a + math.sqrt(1 - c * c) * b).tolist(), 1)]
+    rows += [rows[0], rows[1]]  # repeated rows are copies of each other
+    got = embeddings.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    found = {r["vec_id"] for r in got if r["component_id"] != r["vec_id"]}
+    assert len(got) == len(rows) and len(found & {2 * i + 1 for i in range(400)}) >= 398
+    assert {(r["n_links"], r["component_id"]) for r in got if r["vec_id"] < 2} == {(3, 0)}
+
+
+def test_tables_needed_keep_the_promised_chance():
+    rng = np.random.default_rng(4)
+    bits, same, width = 384, 0.88, 12
+    farthest = int(bits * 0.12 + 5 * math.sqrt(bits * 0.12 * 0.88))
+    tables = embeddings.tables_needed(bits, same, width, farthest, 0.01)
+    picks = np.stack([rng.choice(bits, width, replace=False) for _ in range(tables)])
+    equal = rng.random((20_000, bits)) < same
+    assert np.mean([not row[picks].all(1).any() for row in equal]) < 0.014
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(5)
     a = rng.normal(size=(2000, 64))
@@ -150,5 +209,9 @@ def test_url_lists_as_of_fetch(spark):
     want = {1: "pass", 2: "block", 3: "pass", 4: "allow", 5: "block", 6: "allow", 7: "pass", 8: "pass", 9: "pass", 10: "pass", 11: "pass"}
     assert {r["page_id"]: r["verdict"] for r in got} == want
     assert urls.allowed(captures, entries).count() == len(rows) - 2
+    odd = [(1, "http://ok.x.org/bad/" + "a/" * 20_000, "2024-01-20"), (2, "http://" + "s." * 300 + "x.org/", "2024-01-20"), (3, "http://[::1]:80/x", "2024-01-20"), (4, "http://ok.x.org/badly", "2024-01-20"), (5, "http://u@x.org:1", "2024-01-20")]
+    wide = spark.createDataFrame([(*r, "x") for r in odd], "page_id long, url string, fetched string, list string").selectExpr("page_id", "url", "cast(fetched as date) fetched", "list")
+    assert {r["page_id"]: r["verdict"] for r in urls.judged(wide, entries).collect()} == {1: "block", 2: "block", 3: "pass", 4: "allow", 5: "block"}
+    assert wide.select(urls.host(F.col("url")).alias("h")).collect()[2]["h"] == "[::1]"
     assert {r["verdict"] for r in urls.judged(captures, entries.limit(0)).collect()} == {"pass"}
     assert urls.judged(captures.limit(0), entries).count() == 0
