@@ -5,7 +5,9 @@ from __future__ import annotations
 import corpus_pipeline
 
 from dealspark.llm.bpe import op2_byte_bpe
+from dealspark.llm.divergence import OP11_SQL, op11_source_divergence
 from dealspark.llm.embeddings import op6_embedding_near_dedup
+from dealspark.llm.hierarchy import op13_hierarchical_packing
 from dealspark.llm.language import op4_language_id
 from dealspark.llm.lattice import op8_lm_scoring
 from dealspark.llm.media import op9_media_columns
@@ -14,6 +16,7 @@ from dealspark.llm.packing import op5_best_fit_packing
 from dealspark.llm.quality import op3_quality_classifier
 from dealspark.llm.toxicity import op10_toxicity
 from dealspark.llm.urls import OP1_SQL, op1_url_filters
+from dealspark.llm.whitening import op12_embedding_whitening
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -27,8 +30,11 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op2_byte_bpe": op2_byte_bpe,
     "op9_media_columns": op9_media_columns,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_hierarchical_packing": op13_hierarchical_packing,
 }
 
-ORACLES: dict[str, str] = {"op1_url_filters": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_url_filters": OP1_SQL, "op11_source_divergence": OP11_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
