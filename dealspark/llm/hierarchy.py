@@ -42,12 +42,11 @@ from dealspark.session import Scratch
 TIERS = (2048, 1024, 512, 256)
 STEP_SLOTS = 8
 END_ID = 1
-#: Chunks of text with known ids that a worker keeps (beyond it the cache starts anew), and the longest that are kept, in bytes.
-CACHE_CHUNKS, CACHED_BYTES = 600_000, 64
+#: Cut parts, of about 50 bytes each, up to which they are broadcast: the plan knows that there are two for each window of the stream, and one for each last window.
+FEW_PARTS = 100_000
+#: Chunks of text with known ids that a worker keeps (beyond it the cache starts anew), the longest that are kept, in bytes, and how many are encoded at once.
+CACHE_CHUNKS, CACHED_BYTES, AT_ONCE = 1_500_000, 64, 4096
 _PIECES = "doc_id long, text_hash long, start long, length long, ids_crc32 long, doc_tokens long"
-_SIGN = np.zeros(256, bool)
-_SIGN[0x21:0x7F] = True
-_HIGH = np.arange(256) >= 0x80
 
 
 def chunk_starts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -59,8 +58,8 @@ def chunk_starts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     first = np.zeros(len(raw) + 1, bool)
     first[at[:-1]] = True
     if len(raw) > 1:
-        solid = _SIGN[raw]
-        high = np.flatnonzero(_HIGH[raw])
+        solid = (raw - np.uint8(0x21)) < 0x7F - 0x21  # signs of ASCII; smaller bytes wrap
+        high = np.flatnonzero(raw >= 0x80)
         if len(high):
             last, second, third = raw[high], raw[np.maximum(high - 1, 0)], raw[np.maximum(high - 2, 0)]
             white = (second == 0xC2) & ((last == 0x85) | (last == 0xA0)) | (third == 0xE1) & (second == 0x9A) | (third == 0xE2) & ((second == 0x80) | (second == 0x81)) | (third == 0xE3) & (second == 0x80)
@@ -80,25 +79,60 @@ class ChunkTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.cache: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.size_of = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each token: one for each character of its name
+        for token, i in vocabulary.items():
+            self.size_of[i] = len(token)
 
     def encode(self, raw: np.ndarray, at: np.ndarray) -> list[bytes]:
-        """The ids of each text."""
+        """The ids of each text. Each distinct chunk is looked up once."""
         cache = self.cache
         if len(cache) > CACHE_CHUNKS:
             cache.clear()
-        data, starts = raw.tobytes(), chunk_starts(raw, at)
-        cut, edges = np.searchsorted(starts, at).tolist(), np.append(starts, len(data)).tolist()
-        chunks = [data[x:y] for x, y in zip(edges, edges[1:])]
-        once: dict[bytes, bytes] = {}  # long chunks seldom come again
-        new = {c for c in set(chunks) if c not in cache}
-        fresh = list(new)
-        for i in range(0, len(fresh), 4096):
-            part = fresh[i : i + 4096]
-            for chunk, found in zip(part, self.tokenizer.encode_batch_fast([c.decode("utf-8") for c in part], add_special_tokens=False), strict=True):
-                (cache if len(chunk) <= CACHED_BYTES else once)[chunk] = np.array(found.ids, "<u4").tobytes()
-        if once:
-            return [b"".join([once[c] if c in once else cache[c] for c in chunks[a:b]]) for a, b in zip(cut, cut[1:])]
-        return [b"".join([cache[c] for c in chunks[a:b]]) for a, b in zip(cut, cut[1:])]
+        starts = chunk_starts(raw, at)
+        coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(raw)).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw))]).dictionary_encode()
+        _, edges, data = coded.dictionary.buffers()
+        edges, data = np.frombuffer(edges, np.int32)[: len(coded.dictionary) + 1].tolist(), data.to_pybytes() if data else b""
+        chunks = [data[a:b] for a, b in zip(edges, edges[1:])]
+        found = list(map(cache.get, chunks))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        for k, ids in zip(new, self._encoded(coded.dictionary.take(pa.array(new, pa.int32())))):
+            found[k] = ids
+            if len(chunks[k]) <= CACHED_BYTES:  # longer ones seldom come again
+                cache[chunks[k]] = ids
+        each = list(map(found.__getitem__, coded.indices.to_numpy().tolist()))
+        cut = np.searchsorted(starts, at).tolist()
+        return [b"".join(each[a:b]) for a, b in zip(cut, cut[1:])]
+
+    def _encoded(self, chunks: pa.BinaryArray) -> list[bytes]:
+        """Ids of chunks, many in one call: those that begin with white space and end with a sign that is none may follow one another."""
+        if not len(chunks):
+            return []
+        _, ends, data = chunks.buffers()
+        ends = np.frombuffer(ends, np.int32)[: len(chunks) + 1]
+        raw = np.frombuffer(data, np.uint8)
+        first, last = raw[ends[:-1]], raw[ends[1:] - 1]
+        joins = ((first == 0x20) | (first == 0x0A)) & (last > 0x20) & (last < 0x7F)
+        out: list[bytes] = [b""] * len(chunks)
+        alone = np.flatnonzero(~joins)
+        for i in range(0, len(alone), AT_ONCE):
+            part = alone[i : i + AT_ONCE].tolist()
+            texts = [data[ends[k] : ends[k + 1]].to_pybytes().decode("utf-8") for k in part]
+            for k, found in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                out[k] = np.array(found.ids, "<u4").tobytes()
+        together = np.flatnonzero(joins)
+        for i in range(0, len(together), AT_ONCE):
+            part = together[i : i + AT_ONCE]
+            own = chunks.take(pa.array(part))
+            _, stops, text = own.buffers()
+            stops = np.frombuffer(stops, np.int32)[1 : len(part) + 1]
+            (found,) = self.tokenizer.encode_batch_fast([text.to_pybytes()[: stops[-1]].decode("utf-8")], add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            edges = (4 * (np.searchsorted(np.cumsum(self.size_of[ids]), stops) + 1)).tolist()
+            bytes_of = ids.tobytes()
+            for k, a, b in zip(part.tolist(), [0, *edges], edges):
+                out[k] = bytes_of[a:b]
+        return out
 
 
 @functools.cache
@@ -264,8 +298,8 @@ def _placed(ranked: DataFrame, plan: Plan) -> DataFrame:
     return ranked.mapInArrow(run, _PLACED)
 
 
-def _part_sums(docs: DataFrame, cuts: DataFrame, path: str) -> DataFrame:
-    """Checksums of the parts (start, length) of texts, read again: doc_id, text_hash, start, length, part_crc32."""
+def _part_sums(docs: DataFrame, cuts: DataFrame, path: str, few: bool) -> DataFrame:
+    """Checksums of the parts (start, length) of texts, read again: doc_id, text_hash, start, length, part_crc32; texts are not shuffled for few cuts."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -273,7 +307,7 @@ def _part_sums(docs: DataFrame, cuts: DataFrame, path: str) -> DataFrame:
     schema = to_arrow_schema(StructType.fromDDL(ddl))
     # equal rows differ in their cuts only: fewer than the longest window has tokens
     asked = cuts.groupBy(F.col("doc_id").alias("asked_id"), F.col("text_hash").alias("asked_hash")).agg(F.collect_set(F.struct("start", "length")).alias("parts"))
-    texts = _identified(docs).join(asked, F.col("doc_id").eqNullSafe(F.col("asked_id")) & (F.col("text_hash") == F.col("asked_hash")))
+    texts = _identified(docs).join(F.broadcast(asked) if few else asked, F.col("doc_id").eqNullSafe(F.col("asked_id")) & (F.col("text_hash") == F.col("asked_hash")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -307,7 +341,7 @@ def pack_hierarchy(docs: DataFrame, path: str, tiers: tuple[int, ...] = TIERS) -
         return placed.select(result)
     placed = scratch.stored(placed)
     cut = placed.where("cut")
-    sums = _part_sums(docs, cut, path).withColumnsRenamed({c: f"part_{c}" for c in ("doc_id", "text_hash", "start", "length")})
+    sums = _part_sums(docs, cut, path, 2 * (plan.streamed // tiers[0]) + len(plan.tail) + 1 <= FEW_PARTS).withColumnsRenamed({c: f"part_{c}" for c in ("doc_id", "text_hash", "start", "length")})
     same = F.col("doc_id").eqNullSafe(F.col("part_doc_id")) & (F.col("text_hash") == F.col("part_text_hash")) & (F.col("start") == F.col("part_start")) & (F.col("length") == F.col("part_length"))
     mended = cut.join(sums, same).withColumn("ids_crc32", F.col("part_crc32"))
     out = placed.where("not cut").select(result).union(mended.select(result))
