@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dealspark.llm import kernels as K
 from dealspark.session import durable
 
 #: Nodes with very many links at most: their least neighbours are broadcast, so that no task gets all links of one.
@@ -33,6 +34,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         down = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
         small = _with_least(large, down, many, hubs).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
         links = durable(small.union(down.select("u", F.col("m").alias("v"))).distinct())
+        del both, least, large, down, small
+        K.release(edges.sparkSession)
     members = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component"))
     return members.union(roots.distinct())

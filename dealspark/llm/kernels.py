@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,15 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffles and checkpoints that no plan refers to any more.
+
+    It does so once the driver's collectors have found them, which may take many rounds of a loop whose plans are small.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return table(spark, sf_dir, "documents")
