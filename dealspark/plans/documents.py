@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dealspark.catalogue import query
 from dealspark.functions import text as T
-from dealspark.operators import expectations, selection
+from dealspark.operators import expectations, names, selection
 from dealspark.session import table
 
 TERMS = ("the", "and", "der", "die", "les", "que", "con", "token", "license", "ing")
@@ -99,3 +99,34 @@ def document_issues(spark: SparkSession, d: str) -> DataFrame:
 @query("source_quality_report", "SELECT source, count(*) AS docs, count(*) FILTER (WHERE length(text) < 200) AS short_docs, count(*) FILTER (WHERE contains(text, '!!')) AS loud, min(doc_id) AS first_doc FROM documents GROUP BY 1")
 def source_quality_report(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("docs"), F.count_if(F.length("text") < 200).alias("short_docs"), F.count_if(F.contains("text", F.lit("!!"))).alias("loud"), F.min("doc_id").alias("first_doc"))
+
+
+#: A document's paragraphs, and the names looked for: the words of the benchmark with eight letters or more.
+_PARAGRAPHS = "string_split(coalesce(text, ''), E'\\n')"
+
+
+@query(
+    "name_mentions",
+    f"""WITH names AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]{{8,}}')) AS name FROM benchmark),
+    paragraphs AS (SELECT doc_id, unnest({_PARAGRAPHS}) AS p, generate_subscripts({_PARAGRAPHS}, 1) - 1 AS k FROM documents),
+    words AS (SELECT doc_id, k, unnest(regexp_extract_all(p, '[\\p{{L}}\\p{{N}}_]+')) AS name FROM paragraphs)
+    SELECT doc_id, name, count(*) AS mentions, CAST(min(k) AS INTEGER) AS paragraph FROM words JOIN names USING (name) GROUP BY doc_id, name""",
+)
+def name_mentions(spark: SparkSession, d: str) -> DataFrame:
+    """How often each document names each of the names, and in which paragraph first: one automaton for all."""
+    listed = _benchmark_names(spark, d)
+    found = table(spark, d, "documents").select("doc_id", F.explode(listed.mentions(F.split(F.coalesce("text", F.lit("")), "\n"), whole_words=True)).alias("m"))
+    return found.select("doc_id", "m.name", "m.mentions", "m.paragraph")
+
+
+def _benchmark_names(spark: SparkSession, d: str) -> names.Names:
+    words = table(spark, d, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{8,}"), 0)).alias("name"))
+    return names.Names(words.distinct().withColumn("note", F.concat(F.lit(" ("), F.substring("name", 1, 3), F.lit(")"))), note="note")
+
+
+@query("first_mention_notes")
+def first_mention_notes(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with a note behind the first mention of each name; a second pass changes nothing."""
+    noted = _benchmark_names(spark, d).annotate(F.split(F.coalesce("text", F.lit("")), "\n"), whole_words=True)
+    out = table(spark, d, "documents").select("doc_id", F.length("text").alias("before"), F.array_join(noted, "\n").alias("t"))
+    return out.select("doc_id", F.sha1("t").alias("digest"), (F.length("t") - F.coalesce("before", F.lit(0))).alias("added"))

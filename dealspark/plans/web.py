@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealspark.catalogue import query
+from dealspark.functions import pages as P
 from dealspark.functions import text as T
 from dealspark.functions import urls as U
 from dealspark.operators import dedupe
@@ -78,3 +79,43 @@ def token_url(spark: SparkSession, d: str) -> DataFrame:
 def first_url_cell(spark: SparkSession, d: str) -> DataFrame:
     found = F.regexp_extract(F.coalesce("html", F.lit("")), r'(https?://[^\s"<>]+)', 1)
     return table(spark, d, "pages").select("page_id", found.alias("url"), T.safe_cell(F.substring("html", 1, 40)).alias("cell"))
+
+
+_SHOWN = "coalesce(html, '')"
+for _tag in ("script", "style"):
+    _SHOWN = f"regexp_replace({_SHOWN}, '(?is)<{_tag}\\b.*?</{_tag}\\s*>', ' ', 'g')"
+_SHOWN = f"regexp_replace({_SHOWN}, '(?s)<!--.*?-->', ' ', 'g')"
+
+
+def _read(markup: str) -> str:
+    """SQL for the text of regular markup without hidden elements."""
+    out = f"regexp_replace({markup}, '(?s)<[^>]*>', ' ', 'g')"
+    for entity, sign in (("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&amp;?", "&")):
+        out = f"regexp_replace({out}, '{entity}', '{sign}', 'g')"
+    return f"trim(regexp_replace({out}, '{T.SPACE}', ' ', 'g'))"
+
+
+@query(
+    "page_text",
+    f"""SELECT page_id, length(t) AS size, sha1(t) AS digest, coalesce(length(m), 0) AS matter_size, coalesce(sha1(m), '') AS matter_digest, coalesce(h, '') AS title
+    FROM (SELECT page_id, {_read(_SHOWN)} AS t, {_read("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS h, CASE WHEN length({_read("regexp_extract(html, '(?s)<article>(.*)</article>', 1)")}) >= 230 THEN {_read("regexp_extract(html, '(?s)<article>(.*)</article>', 1)")} END AS m FROM pages)""",
+)
+def page_text(spark: SparkSession, d: str) -> DataFrame:
+    """Title, text and matter of every page, read by the tokeniser."""
+    read = table(spark, d, "pages").select("page_id", P.read_pages(F.col("html")).alias("p"))
+    shown = read.select("page_id", *[T.collapse_space(F.col(f"p.{c}")).alias(c) for c in ("title", "text", "matter")])
+    matter = F.when(F.length("matter") >= 230, F.col("matter"))  # well above what counts as matter, so that blanks don't decide
+    return shown.select("page_id", F.length("text").alias("size"), F.sha1("text").alias("digest"), F.coalesce(F.length(matter), F.lit(0)).alias("matter_size"), F.coalesce(F.sha1(matter), F.lit("")).alias("matter_digest"), "title")
+
+
+_SITE = "regexp_extract(coalesce(url, ''), '^(https?)://[^/?#]+')"
+
+
+@query(
+    "page_links",
+    f"SELECT page_id, place - 1 AS place, CASE WHEN {_SITE} <> '' THEN {_SITE} || link END AS link FROM (SELECT page_id, url, unnest(l) AS link, generate_subscripts(l, 1) AS place FROM (SELECT page_id, url, list_transform(regexp_extract_all(coalesce(html, ''), '<a href=\"([^\"]*)\"', 1), lambda x: regexp_replace(x, '&amp;?', '&', 'g')) AS l FROM pages))",
+)
+def page_links(spark: SparkSession, d: str) -> DataFrame:
+    """Every anchor of every page in order, its target seen from the page's address."""
+    read = table(spark, d, "pages").select("page_id", "url", P.read_pages(F.col("html"))["links"].alias("links"))
+    return read.select("page_id", "url", F.posexplode("links").alias("place", "own")).select("page_id", F.col("place").cast("long").alias("place"), P.absolute(F.col("own"), F.col("url")).alias("link"))
