@@ -37,6 +37,8 @@ from dealspark.llm.components import connected_components
 from dealspark.session import Scratch
 
 HASHES, TREES, DEPTHS = 128, 24, (4, 5, 6, 7, 8)
+#: One of so many prefixes has pairs with its first text.
+LED = 6
 #: Largest region that is compared pair by pair.
 REGION = 48
 #: Texts of a block of a crowded region, bytes of their texts, and shingles that are counted at once.
@@ -202,9 +204,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def _neighbours(rows: DataFrame) -> DataFrame:
-    """Pairs of texts that are next to each other in a sorted order and have a common prefix there, and of each with the first text of its prefix.
+    """Pairs of texts that are next to each other in a sorted order and have a common prefix there, and, for some prefixes, of each with the first text there.
 
-    The latter keep the links of a group short, so that its components are found in few rounds.
+    The latter keep the links of a group short, so that its components are found in few rounds. A group of near copies has a common
+    prefix in most trees, so a part of the prefixes, chosen by their hash, does; all other pairs are left to the steps that follow.
 
     A key of depth d hashes the tree and its first d minimum hashes, so that one sort by the keys holds the sorted orders of
     all trees, and the longest common prefix of two rows is at least as deep as their last equal key.
@@ -221,7 +224,8 @@ def _neighbours(rows: DataFrame) -> DataFrame:
             if len(lead):
                 first[: start[1] if len(start) > 1 else len(key)] = lead[0]
             at = np.flatnonzero(key[1:] == key[:-1])
-            left, right = np.concatenate([node[at], first]), np.concatenate([node[at + 1], node])
+            star = key % LED == 0
+            left, right = np.concatenate([node[at], first[star]]), np.concatenate([node[at + 1], node[star]])
             apart = left != right
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(left, right)[apart]), pa.array(np.maximum(left, right)[apart])], names=["a", "b"])
             key, node, lead = key[-1:], node[-1:], first[-1:]
