@@ -53,3 +53,9 @@ def json_extract(spark: SparkSession, d: str) -> DataFrame:
 @query("stream_window_counts", f"SELECT {START} AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_window_counts(spark: SparkSession, d: str) -> DataFrame:
     return windows.counted_once(spark, f"{d}/events.parquet")
+
+
+@query("stream_closed_windows", f"SELECT start, event_type, n FROM (SELECT {START} AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2) WHERE start + INTERVAL 7 DAYS <= (SELECT max(ts) FROM events) - INTERVAL 10 DAYS")
+def stream_closed_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Weekly counts as an append-only stream gives them: each window once, when no more rows can come."""
+    return windows.Weeks(spark, f"{d}/events.parquet").run().closed()
