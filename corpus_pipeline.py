@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as
 the next stage's docs. The filters keep the columns of documents. Labels are learned from the rows that a stage
 is given, leaving out the same folds as the single queries do. Rows that repeat a doc_id are one document and stay together.
+
+Defined cases, for every stage: a null or empty text is scored like an empty one, has no near-duplicate and is packed as its end token; rows with a
+null doc_id have no label and no near-duplicate and are kept unless their text is rejected; texts of any length are read whole; of equal texts the smallest
+doc_id stays; columns of other names, those that clash with an operator's own included, go through the filters unchanged; without labels nothing is
+rejected; an empty table gives no rows.
 """
 
 from __future__ import annotations
