@@ -28,7 +28,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _load() -> None:
     """Import the modules that register queries."""
-    from dealspark.plans import deals, documents, events, records, reports, runs, sources, web  # noqa: F401
+    from dealspark.plans import deals, documents, drafts, events, records, reports, runs, sources, web  # noqa: F401
 
 
 _load()

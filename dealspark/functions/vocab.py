@@ -168,3 +168,11 @@ CAUSAL_WORDS = ("原因在于", "这意味着", "其约束在于", "真正关键
 METHOD_WORDS = ("方法论", "同类并购", "执行条件", "核验", "治理边界", "交割承接", "整合节奏", "条款安排")
 INDUSTRY_WORDS = ("产业链", "行业", "竞争格局", "客户结构", "技术路线", "商业模式", "资源禀赋", "产业位置")
 TITLE_TOPICS = (*STRUCTURE_TERMS, *INDUSTRY_TERMS, *FINANCE_TERMS, "承接", "协同", "治理", "平台", "私有化", "控制权")
+
+# What a deal turns on, in the order of the check, and short forms of cities in titles: fixed values.
+FOCUS = (
+    (("要约",), "要约与控制权安排"), (("控制权", "控股权", "表决权"), "控制权与治理安排"), (("现金",), "现金支付与业务承接"), (("协议转让", "受让"), "协议转让与交割条件"),
+    (("股权", "股份", "%", "％"), "股权比例与治理安排"),
+)
+FOCUS_OTHERWISE, FOCUS_SHORT = "披露边界下的交易结构", "控制权安排"
+SHORT_CITIES = (("上海市", "上海"), ("深圳市", "深圳"), ("杭州市", "杭州"))
