@@ -256,7 +256,7 @@ def train(words: DataFrame, path: str) -> Scorer:
     """Totals and re-estimated piece weights from a table of words and training counts."""
     spark = words.sparkSession
     totals = words.where("c > 0").agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.max(F.when(F.length("word") == 0, F.col("c"))).alias("e")).first()
-    pieces = vocabulary(path)
+    pieces = copy.copy(vocabulary(path))  # the cached pieces keep their weights
     pieces.weigh(np.zeros(len(pieces.texts)), 0.0)
     n, v, e = totals["n"] or 0, totals["v"] or 0, totals["e"] or 0
     for _ in range(ROUNDS if n else 0):

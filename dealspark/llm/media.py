@@ -1,7 +1,7 @@
 """Media columns: lossless Netpbm and BMP samples, area resize by integral images, NPY tiles, difference hashes.
 
 A media value is a binary column. ``decode_media`` turns a Netpbm (P5, P6) or BMP (8 bit
-with a grey palette, 24 bit) value into a numpy array; ``area_resize`` averages source area with an
+with a palette, 24 bit) value into a numpy array; ``area_resize`` averages source area with an
 integral image; ``npy_tile`` writes the small picture in NPY format and ``difference_hash``
 compares horizontal neighbours of a 9 x 8 picture.
 
@@ -68,26 +68,39 @@ def _netpbm_header(data: bytes) -> tuple[list[int], int]:
 
 
 def decode_media(data: bytes) -> np.ndarray:
-    """Pixels of a Netpbm (P5, P6) or BMP (8 bit grey palette, 24 bit) value."""
+    """Pixels of a Netpbm (P5, P6) or plain BMP (8 bit with a palette, 24 bit) value: two dimensions if it is grey by its form or palette, else RGB.
+
+    Whatever is cut short, damaged or of another form raises ValueError.
+    """
+    try:
+        return _decoded(data)
+    except (struct.error, IndexError) as e:
+        raise ValueError("damaged picture") from e
+
+
+def _decoded(data: bytes) -> np.ndarray:
     if data[:2] in (b"P5", b"P6"):
         (w, h, top), start = _netpbm_header(data)
         if top != 255:
             raise ValueError("only 8-bit Netpbm is supported")
         planes = 1 if data[:2] == b"P5" else 3
+        if not (w and h):
+            raise ValueError("a picture without pixels")
         pixels = np.frombuffer(data, np.uint8, w * h * planes, start)
         return pixels.reshape(h, w) if planes == 1 else pixels.reshape(h, w, 3)
     if data[:2] == b"BM":
-        (start,) = struct.unpack_from("<I", data, 10)
+        start, head = struct.unpack_from("<II", data, 10)
         w, h, _, bits, packed = struct.unpack_from("<iiHHI", data, 18)
-        if packed or bits not in (8, 24):
+        if head < 40 or packed or bits not in (8, 24) or w <= 0 or not h:
             raise ValueError("only plain BMP of 8 or 24 bits is supported")
         stride = -(-w * bits // 32) * 4
         rows = np.frombuffer(data, np.uint8, abs(h) * stride, start).reshape(abs(h), stride)
         rows = rows[::-1] if h > 0 else rows
         if bits == 8:
             (used,) = struct.unpack_from("<I", data, 46)
-            palette = np.frombuffer(data, np.uint8, 4 * (used or 256), 54).reshape(-1, 4)[:, 0]
-            return palette[rows[:, :w]]
+            palette = np.frombuffer(data, np.uint8, 4 * (used or 256), 14 + head).reshape(-1, 4)[:, 2::-1]
+            grey = (palette == palette[:, :1]).all()
+            return (palette[:, 0] if grey else palette)[rows[:, :w]]
         return rows[:, : 3 * w].reshape(abs(h), w, 3)[:, :, ::-1]
     raise ValueError("neither Netpbm nor BMP")
 

@@ -1,4 +1,6 @@
 import hashlib
+import struct
+import time
 import math
 import random
 import re
@@ -65,8 +67,21 @@ def test_media_round_trip(spark, docs):
         assert (media.decode_media(encode(pixels)) == pixels).all()
     small = media.area_resize(pixels, 3, 16)
     assert np.allclose(small, pixels.reshape(3, 2, 16, 4).mean((1, 3)))
-    with pytest.raises(ValueError):
-        media.decode_media(b"GIF89a")
+    grey = bytearray(media.encode_bmp(pixels))
+    colours = grey[:54] + b"".join(bytes((i, 255 - i, i // 2, 0)) for i in range(256)) + grey[54 + 1024 :]
+    expected = np.stack([pixels // 2, 255 - pixels, pixels], 2)
+    assert (media.decode_media(bytes(colours)) == expected).all()
+    longer = bytearray(colours[:54] + bytes(68) + colours[54:])
+    struct.pack_into("<II", longer, 10, 14 + 108 + 1024, 108)
+    assert (media.decode_media(bytes(longer)) == expected).all()
+    core = bytearray(colours)
+    struct.pack_into("<I", core, 14, 12)
+    fewer = bytearray(grey[:54] + bytes(8) + grey[54 + 1024 :])
+    struct.pack_into("<I", fewer, 46, 2)
+    struct.pack_into("<I", fewer, 10, 54 + 8)
+    for bad in (b"GIF89a", b"BM", b"", bytes(grey[:60]), bytes(grey[:-1]), bytes(core), bytes(fewer), b"P5\n0 4\n255\n", b"P5\n9 9\n255\nxx", b"P6 #"):
+        with pytest.raises(ValueError):
+            media.decode_media(bad)
     assert media.media_tiles(docs(ODD[:2])).count() == 2
 
 
@@ -165,6 +180,19 @@ def test_toxicity_reads_signs_at_the_end_and_spaced_signs(spark, docs):
     assert [t for i, t in enumerate(clean, len(toxic)) if got[i] >= 0.5] == []
 
 
+def test_all_signs_at_the_end_of_a_word_are_read():
+    counts = np.zeros(27 * 27 * 27)
+    for a, b, c in zip("  idiot", " idiot ", "idiot  "):
+        at = [26 if x == " " else ord(x) - 97 for x in (a, b, c)]
+        counts[at[0] * 729 + at[1] * 27 + at[2]] += 1000
+    decoder = toxicity.Decoder(counts)
+    for dots in (3, 16, 17, 400):
+        assert "idiot" in decoder.endings("idio" + "." * dots + "+", 12)
+    started = time.perf_counter()
+    assert all(len(x) <= 12 for x in decoder.endings("idio" + "12+!" * 5_000, 12)) and decoder.endings("ab" * 50 + "!", 12) == []
+    assert time.perf_counter() - started < 20
+
+
 def test_toxicity_reads_long_spaced_words(spark, docs):
     word = "unbelievablestupidnessperson"  # longer than what is learned from spaced words
     toy = _toy(240, word)
