@@ -14,7 +14,7 @@ tokens travel as packed arrays to buckets of the word table, whose number grows
 small, and come back as sums.
 
 Defined cases: null text is scored like an empty one, of which only the end counts; rows without doc_id are scored and keep
-their null; words of any length are read; repeated rows get equal scores and count as often as they occur; without training
+their null; words of any length are read, long ones in stretches, with 16 bytes of memory for each of theirs; repeated rows get equal scores and count as often as they occur; without training
 rows all words are unknown; other columns don't matter; an empty table gives no rows. Words are told apart by 64-bit hashes.
 """
 
@@ -24,6 +24,7 @@ import copy
 import functools
 import math
 import uuid
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -42,6 +43,8 @@ _COUNTED = 400_000
 #: Documents, and tokens outside the head, that travel together at most; training tokens for each bucket of words.
 _GROUP_DOCS, _GROUP_TOKENS, _BUCKET_TOKENS = 32_768, 1_000_000, 500_000
 _NEVER = -1e30
+#: Bytes from which a word is read in stretches of so many, by itself; bytes of such words that are counted or valued together.
+_LONG, _STRETCH, _HELD = 4096, 65_536, 16_000_000
 
 
 class Pieces:
@@ -133,8 +136,50 @@ def _forward(weights: np.ndarray) -> np.ndarray:
     return alpha[:, longest - 1 :]
 
 
+def _stretches(pieces: Pieces, word: np.ndarray, backwards: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(start, end, piece) of the arcs of a word's bytes, sorted by end, those that end in one stretch at a time."""
+    edges = range(0, len(word), _STRETCH)
+    for first in reversed(edges) if backwards else edges:
+        before = max(0, first - pieces.longest + 1)
+        arcs = pieces.arcs(word[None, before : first + _STRETCH])[0]
+        end, k = np.nonzero(arcs[first - before :] >= 0)
+        yield end + first - k, end + first + 1, arcs[end + first - before, k]
+
+
+def _pass(sums: array, arcs: Iterator[tuple[int, int, float]]) -> None:
+    """Add, in log space, what each arc (from, to, weight) carries."""
+    exp, log1p = math.exp, math.log1p
+    for origin, goal, weight in arcs:
+        low, high = sums[origin] + weight, sums[goal]
+        if low > high:
+            low, high = high, low
+        sums[goal] = high + log1p(exp(low - high))
+
+
+def _long_forward(pieces: Pieces, word: np.ndarray) -> array:
+    """Log sums of all paths to each position of one long word."""
+    alpha = array("d", [_NEVER]) * (len(word) + 1)
+    alpha[0] = 0.0
+    for start, end, piece in _stretches(pieces, word):
+        _pass(alpha, zip(start.tolist(), end.tolist(), pieces.log[piece].tolist(), strict=True))
+    return alpha
+
+
+def _long_counts(pieces: Pieces, word: np.ndarray) -> np.ndarray:
+    """Expected uses of each piece in one long word."""
+    alpha = _long_forward(pieces, word)
+    beta = array("d", [_NEVER]) * (len(word) + 1)
+    beta[-1] = 0.0
+    ahead, behind = np.frombuffer(alpha), np.frombuffer(beta)
+    total = np.zeros(len(pieces.texts))
+    for start, end, piece in _stretches(pieces, word, backwards=True):
+        _pass(beta, zip(end[::-1].tolist(), start[::-1].tolist(), pieces.log[piece[::-1]].tolist(), strict=True))
+        total += np.bincount(piece, weights=np.exp(ahead[start] + pieces.log[piece] + behind[end] - ahead[-1]), minlength=len(total))
+    return total
+
+
 def _by_size(words: list[bytes], longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(places, bytes) of words with their leading space, of one size each, some at a time."""
+    """(places, bytes) of words with their leading space, of one size each, some at a time; a long word comes alone."""
     sizes = np.array([len(w) + 1 for w in words])
     order = np.argsort(sizes, kind="stable")
     for a, b in zip(*(lambda e: (e[:-1], e[1:]))(np.concatenate([[0], np.flatnonzero(np.diff(sizes[order])) + 1, [len(order)]])), strict=True):
@@ -151,6 +196,9 @@ def log_probabilities(pieces: Pieces, words: list[bytes]) -> np.ndarray:
     if words:
         with np.errstate(over="ignore"):
             for own, data in _by_size(words, pieces.longest):
+                if data.shape[1] > _LONG:
+                    out[own] = [_long_forward(pieces, word)[-1] + pieces.stop for word in data]
+                    continue
                 arcs = pieces.arcs(data)
                 out[own] = _forward(np.where(arcs >= 0, pieces.log[arcs], _NEVER))[:, -1] + pieces.stop
     return out
@@ -163,6 +211,10 @@ def expected_counts(pieces: Pieces, words: list[bytes], counts: np.ndarray) -> n
         return total
     with np.errstate(over="ignore"):
         for own, data in _by_size(words, pieces.longest):
+            if data.shape[1] > _LONG:
+                for k, word in zip(own, data, strict=True):
+                    total += counts[k] * _long_counts(pieces, word)
+                continue
             arcs = pieces.arcs(data)
             weights = np.where(arcs >= 0, pieces.log[arcs], _NEVER)
             n, size, longest = weights.shape
@@ -185,6 +237,7 @@ def _word_counts(docs: DataFrame, training: Column) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
         others: set[bytes] = set()
+        held = 0  # bytes of long words
 
         def flush() -> pa.RecordBatch:
             only = [w for w in others if w not in counts]
@@ -199,13 +252,17 @@ def _word_counts(docs: DataFrame, training: Column) -> DataFrame:
             for i, _, part, offsets in K.slices(raw, at):
                 data = K.lower_ascii(part).tobytes()
                 for k, (x, y) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+                    words = data[x:y].split()
+                    if y - x > _LONG:
+                        held += sum([len(w) for w in words if len(w) > _LONG])
                     if kept[i + k]:
-                        counts.update(data[x:y].split())
+                        counts.update(words)
                         counts[b""] += 1
                     else:
-                        others.update(data[x:y].split())
-                if len(counts) + len(others) > _COUNTED:
+                        others.update(words)
+                if len(counts) + len(others) > _COUNTED or held > _HELD:
                     yield flush()
+                    held = 0
         yield flush()
 
     return docs.select("text", training.alias("kept")).mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
@@ -215,12 +272,14 @@ def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 30_000) -> Iterator
     """Words and counts of several batches together: the recursions run over many words at once."""
     words: list[bytes] = []
     counts: list[np.ndarray] = []
+    held = 0
     for b in batches:
         words += b.column(0).to_pylist()
         counts.append(b.column(1).to_numpy())
-        if len(words) >= rows:
+        held += b.column(0).nbytes
+        if len(words) >= rows or held >= _HELD:
             yield words, np.concatenate(counts)
-            words, counts = [], []
+            words, counts, held = [], [], 0
     if words:
         yield words, np.concatenate(counts)
 

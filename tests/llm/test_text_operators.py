@@ -131,6 +131,28 @@ def test_lattice_sums_all_segmentations(spark, docs):
     assert math.isclose(sum(e for e, i in zip(expected, pieces.initial) if i), 4.0)  # one first piece a word
 
 
+def test_lattice_reads_long_words_in_stretches(spark, docs, monkeypatch):
+    pieces = lattice.vocabulary(P.path("piece_bpe_32k.model"))
+    words = [b"unbroken", "zerlegbarkeit\u4e2d\u6587".encode() * 5, bytes(range(33, 127)) * 2, b"ab" * 90]
+    counts = np.array([3.0, 1.0, 2.0, 5.0])
+    plain, uses = lattice.log_probabilities(pieces, words), lattice.expected_counts(pieces, words, counts)
+    monkeypatch.setattr(lattice, "_LONG", 4)
+    for stretch in (7, 64, 1000):
+        monkeypatch.setattr(lattice, "_STRETCH", stretch)
+        assert np.allclose(lattice.log_probabilities(pieces, words), plain, rtol=1e-12)
+        assert np.allclose(lattice.expected_counts(pieces, words, counts), uses, rtol=1e-9, atol=1e-12)
+
+
+def test_lattice_scores_an_unbroken_text(spark, docs):
+    text = "ab9/" * 50_000
+    rows = [(1, text, None), (2, text + " " + text, None), (3, "a plain text", None)]
+    got = {r["doc_id"]: r for r in lattice.score_documents(docs(rows), P.path("piece_bpe_32k.model"), F.col("doc_id") != 2).collect()}
+    assert [got[i]["n_tokens"] for i in (1, 2, 3)] == [2, 3, 4] and [got[i]["n_known"] for i in (1, 2, 3)] == [2, 3, 4]
+    word = [text.encode()]
+    given = lattice.log_probabilities(lattice.vocabulary(P.path("piece_bpe_32k.model")), word)[0] / math.log(10)
+    assert math.isclose(got[1]["vocabulary_score"], given, rel_tol=1e-4)
+
+
 def test_lattice_base_scores(spark, docs):
     wide = 2**53 + 1
     rows = [*ODD, (wide, "an id beyond the whole numbers of a double", "en")]
