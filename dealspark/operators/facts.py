@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealspark.functions import cjk as C
@@ -16,6 +16,14 @@ from dealspark.functions import text as T
 from dealspark.functions import vocab as V
 
 _PARTS = ("numeric_facts", "summary", "extracted_text")
+#: Research rows of a case that its fact pack reads, as fixed by the report's own limit on evidence.
+EVIDENCE_ROWS = 56
+
+
+def _first_rows(rows: DataFrame, limit: int, groups: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first rows of each group; tasks cut their own rows before the shuffle, so that a case of very many rows is never gathered."""
+    place = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
+    return rows.withColumn("__at", place).where(F.col("__at") <= limit).drop("__at")
 
 
 def clean_list(values: Column, limit: int, width: int = 260) -> Column:
@@ -76,23 +84,27 @@ def source_hierarchy(research: DataFrame, limit: int = 10) -> DataFrame:
     """For each case: official facts, other reports, and those of both that can carry an inference, in order and capped."""
     told = S.or_else(F.col("numeric_facts"), S.or_else(F.col("summary"), F.coalesce("extracted_text", F.lit(""))))
     rows = research.select("case_id", "place", S.is_primary_source(F.col("url")).alias("official"), S.is_media(F.col("url"), F.col("source_name")).alias("media"), row_summary(F.col("title"), F.col("source_name"), told, F.col("url")).alias("text")).where("text <> ''")
-    ranked = F.array_sort(F.collect_list(F.struct("place", "official", "text")))
-    lists = rows.groupBy("case_id").agg(ranked.alias("m"), F.count_if("official").alias("n_official"), F.count_if("media").alias("n_media"))
+    counts = rows.groupBy("case_id").agg(F.count_if("official").alias("n_official"), F.count_if("media").alias("n_media"))
+    first = _first_rows(rows.select("case_id", "place", "official", "text"), max(limit, 4), ("case_id", "official"), ("place", "text"))
+    lists = first.groupBy("case_id").agg(F.array_sort(F.collect_list(F.struct("place", "official", "text"))).alias("m"))
+    lists = lists.join(counts.withColumnRenamed("case_id", "__case"), F.col("case_id").eqNullSafe(F.col("__case"))).drop("__case")
     pick = lambda official, n: F.slice(F.transform(F.filter("m", lambda x: x["official"] == official), lambda x: x["text"]), 1, n)
     basis = F.slice(F.filter(F.concat(pick(True, limit), pick(False, 4)), lambda t: S.has_any(t, V.BASIS_WORDS)), 1, limit)
     return lists.select("case_id", pick(True, limit).alias("official_facts"), pick(False, limit).alias("media_reports"), basis.alias("inference_basis"), "n_official", "n_media")
 
 
-def fact_packs(cases: DataFrame, research: DataFrame) -> DataFrame:
+def fact_packs(cases: DataFrame, research: DataFrame, evidence: int = EVIDENCE_ROWS) -> DataFrame:
     """One fact pack a case (id, case_name, category, acquirer, target, deal_value, deal_status, buyer_motive, seller_motive, why, title, highlights) with its issues.
 
     Missing or noisy values fall back on the best sentence of the research rows; a price a share that these name replaces one that
-    the value has. Lists keep their order, are distinct and capped. Cases without rows have empty lists.
+    the value has. Lists keep their order, are distinct and capped. A case's evidence is its first rows by place, as many as
+    ``evidence`` says. Cases without rows have empty lists.
     """
     url = F.col("url")
     ref = F.concat(F.when(S.is_primary_source(url), "[official] ").otherwise("[supplement] "), S.or_else(F.col("title"), S.or_else(F.col("source_name"), F.lit("source"))), F.lit(" | "), F.coalesce("source_name", F.lit("")), F.lit(" | "), F.coalesce("url", F.lit("")))
     ref = F.when((F.coalesce("url", F.lit("")) != "") | (F.coalesce("source_name", F.lit("")) != ""), F.substring(ref, 1, 320))
     row = F.struct("place", *[F.trim(F.coalesce(c, F.lit(""))).alias(c) for c in (*_PARTS, "title")], S.or_else(F.col("title"), F.coalesce("source_name", F.lit(""))).alias("named"), ref.alias("ref"))
+    research = _first_rows(research.select("case_id", "place", "title", "source_name", "url", *_PARTS), evidence, ("case_id",), ("place", *_PARTS, "title", "source_name", "url"))
     rows = research.groupBy("case_id").agg(F.array_sort(F.collect_list(row)).alias("m"), F.count_if(S.is_primary_source(url)).alias("authoritative"))
     joined = cases.join(rows.withColumnRenamed("case_id", "id"), "id", "left").withColumns({"m": F.coalesce("m", F.array().cast(rows.schema["m"].dataType)), "authoritative": F.coalesce("authoritative", F.lit(0))})
     texts = lambda *names: F.filter(F.flatten(F.transform("m", lambda x: F.array(*[x[n] for n in names]))), lambda v: v != "")

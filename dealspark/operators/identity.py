@@ -76,6 +76,29 @@ def _both_ways(pairs: DataFrame, names: DataFrame) -> DataFrame:
     return names.select(F.col("name").alias("left"), F.col("name").alias("right")).union(pairs.select("short", "long")).union(pairs.select("long", "short"))
 
 
+def _party_pairs(parties: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, other) of distinct party keys (key, a, t) of which both sides match.
+
+    A key is looked up by the cheapest of three ways: through all keys of the names that match its first side, through those that match its
+    second side, or by every pair of names that match the two. A name that very many keys share, or a short one that very many names hold, costs
+    much in one of them only.
+    """
+    other, sides, weighed = parties.select(F.col("key").alias("other"), F.col("a").alias("a2"), F.col("t").alias("t2")), {}, parties
+    for side in ("a", "t"):
+        names = scratch.stored(parties.groupBy(F.col(side).alias("name")).agg(F.count("*").alias("n")))
+        pairs = scratch.stored(_both_ways(holding_pairs(names.select("name"), LEAST_PARTY), names))
+        load = pairs.join(names.withColumnRenamed("name", "right"), "right").groupBy(F.col("left").alias(side)).agg(F.count("*").alias(f"{side}_names"), F.sum("n").alias(f"{side}_keys"))
+        sides[side], weighed = pairs.withColumnsRenamed({"left": side, "right": f"{side}2"}), weighed.join(load, side)
+    product = F.col("a_names") * F.col("t_names")
+    cheapest = F.when((product <= F.col("a_keys")) & (product <= F.col("t_keys")), "both").when(F.col("a_keys") <= F.col("t_keys"), "a").otherwise("t")
+    weighed = scratch.stored(weighed.select("key", "a", "t", cheapest.alias("way")))
+    found = [weighed.where("way = 'both'").join(sides["a"], "a").join(sides["t"], "t").join(other, ["a2", "t2"]).select("key", "other")]
+    for side, rest in (("a", "t"), ("t", "a")):
+        near = weighed.where(F.col("way") == side).join(sides[side], side).join(other, f"{side}2")
+        found.append(near.join(sides[rest], [rest, f"{rest}2"], "left_semi").select("key", "other"))
+    return found[0].union(found[1]).union(found[2]).where("key <> other")
+
+
 def matching_keys(keys: DataFrame, scratch: Scratch) -> DataFrame:
     """(left, right) of distinct keys that match, each pair both ways and each key with itself."""
     keys = scratch.stored(keys.select("key").distinct())
@@ -85,12 +108,7 @@ def matching_keys(keys: DataFrame, scratch: Scratch) -> DataFrame:
     held = held.join(named.select(F.col("name").alias("short"), "kind"), "short").join(named.select(F.col("name").alias("long"), "kind"), ["long", "kind"])
     held = held.select(F.concat("kind", F.lit(":"), "short").alias("short"), F.concat("kind", F.lit(":"), "long").alias("long"))
     parties = keys.where(F.startswith("key", F.lit("party:"))).select("key", F.split(F.substr("key", F.lit(7)), "->", 2).alias("p")).select("key", F.col("p")[0].alias("a"), F.col("p")[1].alias("t"))
-    sides = []
-    for side in ("a", "t"):
-        names = scratch.stored(parties.select(F.col(side).alias("name")).distinct())
-        sides.append(_both_ways(holding_pairs(names, LEAST_PARTY), names))
-    met = parties.join(sides[0].withColumnsRenamed({"left": "a", "right": "a2"}), "a").join(sides[1].withColumnsRenamed({"left": "t", "right": "t2"}), "t")
-    met = met.join(parties.select(F.col("key").alias("other"), F.col("a").alias("a2"), F.col("t").alias("t2")), ["a2", "t2"]).where("key <> other")
+    met = _party_pairs(parties, scratch)
     out = same.union(held.select("short", "long")).union(held.select("long", "short")).union(met.select("key", "other"))
     return scratch.stored(out.distinct())
 

@@ -18,8 +18,8 @@ def word_shingles(text: Column, size: int) -> Column:
     return F.transform(F.array(words), runs)[0]  # bound as a variable, so that the text is split once
 
 
-#: Passages up to which the lookup is broadcast, so that the runs of the texts aren't shuffled.
-FEW_PASSAGES = 200_000
+#: Bytes of lookup rows up to which they are broadcast, so that the runs of the texts aren't shuffled; beyond it Spark chooses the join.
+LOOKUP_BYTES = 32_000_000
 #: Characters by which a passage of few words is looked up.
 RUN = 8
 
@@ -28,22 +28,32 @@ def contained_in(texts: DataFrame, passages: DataFrame, text: str, passage: str,
     """(key, ref) of texts that contain a passage as it stands; an empty passage is in none.
 
     A passage may begin and end inside words, so its second to ``size`` + 1st words look it up among the word
-    shingles of the texts; one of fewer words is looked up by its first characters among the runs of characters. The few matches
-    are confirmed by a full containment test.
+    shingles of the texts; one of fewer words is looked up by its first characters among the runs of characters. The lookup holds
+    a hash of the passage instead of its text; the few matches are joined with both texts and confirmed by a full containment test.
     """
     words = F.filter(F.split(F.col(passage), r"\s+"), lambda w: w != "")
-    wanted = passages.where(F.col(passage) != "").select(F.col(ref), F.col(passage).alias("__passage"), (F.size(words) >= size + 2).alias("__long"), F.least(F.length(passage), F.lit(RUN)).alias("__run"), F.xxhash64(F.array_join(F.slice(words, 2, size), " ")).alias("__gram"))
-    forms = {(r["__long"], 0 if r["__long"] else r["__run"]): r["n"] for r in wanted.groupBy("__long", "__run").agg(F.count("*").alias("n")).collect()}  # 2 * RUN rows at most
-    few = sum(forms.values()) <= FEW_PASSAGES
+    wanted = passages.where(F.col(passage) != "").select(
+        F.col(ref), F.xxhash64(passage).alias("__hash"), (F.size(words) >= size + 2).alias("__long"), F.least(F.length(passage), F.lit(RUN)).alias("__run"),
+        F.xxhash64(F.array_join(F.slice(words, 2, size), " ")).alias("__gram"), F.col(passage).alias("__passage"),
+    )
+    weight = F.sum(F.coalesce(F.octet_length(F.col(ref).cast("string")), F.lit(0)) + 32)
+    forms: dict[tuple[bool, int], int] = {}
+    for r in wanted.groupBy("__long", "__run").agg(weight.alias("bytes")).collect():  # 2 * RUN rows at most
+        form = (r["__long"], 0 if r["__long"] else r["__run"])
+        forms[form] = forms.get(form, 0) + r["bytes"]
+    few = sum(forms.values()) <= LOOKUP_BYTES
     found = []
     for long, run in sorted(forms):
         own = wanted.where("__long") if long else wanted.where(~F.col("__long") & (F.col("__run") == run)).withColumn("__gram", F.xxhash64(F.substring("__passage", 1, run)))
+        own = own.select("__gram", ref, "__hash")
         grams = word_shingles(F.col(text), size) if long else character_runs(F.col(text), run)
         offered = texts.select(F.col(key), F.explode(grams).alias("__gram"))
-        found.append(offered.join(F.broadcast(own) if few else own, "__gram").select(key, ref, "__passage"))
+        found.append(offered.join(F.broadcast(own) if few else own, "__gram").select(key, ref, "__hash"))
     if not found:
         return texts.select(key).limit(0).join(passages.select(ref).limit(0))
     met = reduce(DataFrame.union, found).distinct()
+    told = wanted.select(F.col(ref).alias("__ref"), F.col("__hash").alias("__same"), "__passage")
+    met = met.join(told, (F.col("__hash") == F.col("__same")) & F.col(ref).eqNullSafe(F.col("__ref"))).select(key, ref, "__passage")
     return met.join(texts.select(F.col(key), F.col(text).alias("__text")), key).where(F.contains("__text", "__passage")).select(key, ref).distinct()
 
 

@@ -11,6 +11,7 @@ from dealspark.functions import cjk as C
 from dealspark.functions import dates
 from dealspark.functions import signals as S
 from dealspark.operators import articles, cases, completions, expectations, facts, identity, paging, reconcile
+from dealspark.session import Scratch
 
 
 def values(spark, expression, inputs):
@@ -199,6 +200,29 @@ def test_fact_packs(spark):
     assert (row["n_official"], row["n_media"], len(row["official_facts"]), len(row["media_reports"])) == (1, 1, 1, 1)
 
 
+def test_a_case_of_many_rows_reads_its_first_ones(spark):
+    schema = "case_id int, place int, title string, source_name string, url string, summary string, numeric_facts string, extracted_text string"
+    rows = [(1, i, f"报道{i}", "财新", f"https://x.caixin.com/{i}", f"收购乙公司股权对价为{i}.5亿元，双方已签署协议并公告。", "", "") for i in range(2000)]
+    research = spark.createDataFrame(rows + [(2, 1, "公告", "公司", "https://static.cninfo.com.cn/a", "甲", "", "")], schema)
+    case = spark.createDataFrame([(1, "甲收购乙", "", "甲公司", "乙公司", "未披露", "", "", "", "", "", "")], "id int, case_name string, category string, acquirer string, target string, deal_value string, deal_status string, buyer_motive string, seller_motive string, why string, title string, highlights string")
+    whole, first = facts.fact_packs(case, research), facts.fact_packs(case, research.where("place < 56"))
+    assert whole.collect() == first.collect() and "WindowGroupLimit" in whole._jdf.queryExecution().toString()
+    got = {r["case_id"]: r for r in facts.source_hierarchy(research).collect()}
+    assert got[1]["n_media"] == 2000 and [x[:3] for x in got[1]["media_reports"]] == ["报道0", *[f"报道{i}" for i in range(1, 10)]] and got[2]["n_official"] == 1
+
+
+def test_party_keys_of_a_common_name(spark):
+    rng = random.Random(4)
+    names = ["abc", "abcd", "xabc", "abcdef", "zzz", "zzzy", "q"] + [f"abc{i}" for i in range(12)]
+    cases = [(i, [f"party:{rng.choice(names)}->{rng.choice(names)}"]) for i in range(120)] + [(200 + i, [f"party:abc->t{i}"]) for i in range(60)] + [(300 + i, [f"party:s{i}->abc"]) for i in range(60)]
+    held = lambda x, y: x == y or (min(len(x), len(y)) >= 3 and (x in y or y in x))
+    split = lambda k: k[len("party:") :].split("->")
+    keys = sorted({k[0] for _, k in cases})
+    want = {(x, y) for x in keys for y in keys if all(map(held, split(x), split(y)))}
+    got = identity.matching_keys(spark.createDataFrame([(k,) for k in keys], "key string"), Scratch(spark)).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
 def page(number, ids, total=5, **other):
     row = {"range": 1, "page": number, "asked_size": 2, "returned_page": number, "returned_size": 2, "success": 1, "total": total, "rows": None if ids is None else [(i,) for i in ids]} | other
     return tuple(row.values())
