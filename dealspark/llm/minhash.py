@@ -156,9 +156,9 @@ def _confirmed(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> D
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row: links are pairs of texts of at least ``percent`` similarity."""
-    if not 50 <= percent <= 100:
-        raise ValueError("the forest is laid out for similarities from 50 percent")
+    """doc_id, n_shingles, component_id, kept for every row: links are pairs of texts of at least ``percent`` similarity, 80 to 100."""
+    if not 80 <= percent <= 100:
+        raise ValueError("the forest finds too few of the pairs below a similarity of 80 percent")
     scratch = Scratch(docs.sparkSession)
     stored = scratch.stored
     sets = stored(described_sets(docs, size))

@@ -70,6 +70,22 @@ def test_blocks_join_what_pairs_join():
         assert grouped(list(range(70)), lambda a, b: component[a] == component[b] or frozenset((a, b)) in links) == want
 
 
+@pytest.mark.parametrize(("size", "percent"), [(3, 85), (5, 80)])
+def test_minhash_finds_pairs_at_the_threshold(spark, docs, size, percent):
+    runs, pairs = 100, 400  # a pair shares the first shingles, as few as the threshold allows
+    shared = -(-2 * runs * percent // (100 + percent))
+    rows = []
+    for i in range(pairs):
+        words = [f"p{i}w{j}" for j in range(runs + size - 1)]
+        other = words[: shared + size - 1] + [f"p{i}v{j}" for j in range(runs - shared)]
+        rows += [(2 * i, " ".join(words), None), (2 * i + 1, " ".join(other), None)]
+    assert 100 * shared >= percent * (2 * runs - shared) and 100 * (shared - 1) < percent * (2 * runs - shared + 1)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs(rows), size, percent).collect()}
+    assert sum(got[2 * i + 1] == 2 * i for i in range(pairs)) >= pairs - 2
+    with pytest.raises(ValueError):
+        minhash.near_duplicates(docs(rows), size, 79)
+
+
 @pytest.mark.parametrize(("size", "percent"), [(3, 85), (5, 80)])
 def test_minhash_against_all_pairs(spark, docs, size, percent):
     rng = random.Random(size)
