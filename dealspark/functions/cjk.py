@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from dealspark.functions import text as T
 from dealspark.functions import vocab as V
 from dealspark.functions.signals import clean, matches, or_else, split_parties, words_pattern
 
@@ -110,7 +111,8 @@ def without_notes(text: Column) -> Column:
 
 def has_malformed_note(text: Column) -> Column:
     pattern = rf"{DESCRIBED_NOTE}|下文简称|以下简称|（简称|（证券简称|{NOTE}(?:娱乐集团|科技有限公司|股份有限公司|有限责任公司|有限公司)"
-    return matches(text, pattern) | matches(text, SPLIT_NOTE) | matches(text, rf"({NOTE})\1")
+    named = matches(text, pattern) | matches(text, SPLIT_NOTE) | matches(text, rf"({NOTE})\1")
+    return matches(text, "（下称“|下文简称|以下简称|（简称|（证券简称") & named  # every one of the forms holds one of these
 
 
 def has_placeholder_fact(text: Column) -> Column:
@@ -156,9 +158,12 @@ def _without_location(name: Column) -> Column:
 def name_aliases(name: Column) -> Column:
     """Names by which a text may call a company: parts, without place, without generic words, first and last characters."""
     name = F.coalesce(name, F.lit(""))
-    compact = compact_name(name)
     plain = F.trim(F.regexp_replace(name, "(?i)(股份有限公司|有限责任公司|有限公司|公司)$", ""))
-    local = F.coalesce(_without_location(compact), compact)
+    forms = F.struct(name.alias("name"), compact_name(name).alias("compact"), plain.alias("plain"))
+    return T.bound(forms, lambda f: T.bound(F.coalesce(_without_location(f["compact"]), f["compact"]), lambda local: _aliases(f["name"], f["compact"], f["plain"], local)))
+
+
+def _aliases(name: Column, compact: Column, plain: Column, local: Column) -> Column:
     found = [name, compact, plain, local, _without_location(plain)]
     for base in (compact, local):
         short = base
