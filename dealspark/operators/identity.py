@@ -27,14 +27,14 @@ def report_party(name: Column) -> Column:
     """A party for identity in reports: lower case, without brackets, legal forms and separators; empty if vague."""
     bare = F.regexp_replace(F.trim(F.lower(F.coalesce(name, F.lit("")))), r"（.*?）|\(.*?\)", "")
     bare = F.regexp_replace(F.regexp_replace(bare, "(?i)" + "|".join(V.REPORT_SUFFIXES), ""), V.SEPARATORS, "")
-    return F.when(S.is_vague_party(bare), "").otherwise(bare)
+    return T.bound(bare, lambda b: F.when(S.is_vague_party(b), "").otherwise(b))
 
 
 def weekly_party(name: Column) -> Column:
     """The same for weekly tables, whose lists differ."""
     bare = F.regexp_replace(T.normalize_text(name), r"（.*?）|\(.*?\)", "")
     bare = F.regexp_replace(F.regexp_replace(bare, "(?i)" + "|".join(V.WEEKLY_SUFFIXES), ""), V.SEPARATORS, "")
-    return F.when(bare.isin(*T.PLACEHOLDERS) | S.has_any(bare, V.UNKNOWN_PARTIES), "").otherwise(bare)
+    return T.bound(bare, lambda b: F.when(b.isin(*T.PLACEHOLDERS) | S.has_any(b, V.UNKNOWN_PARTIES), "").otherwise(b))
 
 
 def case_title(name: Column, boilerplate: Sequence[str] = V.NAME_BOILERPLATE) -> Column:
@@ -49,17 +49,21 @@ def case_title(name: Column, boilerplate: Sequence[str] = V.NAME_BOILERPLATE) ->
 def url_identity(url: Column) -> Column:
     """Host and decoded path in lower case; null without either."""
     host = F.when(U.is_http(url), S.hostname(url)).otherwise("")
-    path = F.regexp_replace(F.regexp_replace(F.coalesce(F.try_url_decode(F.replace(U.path(url), F.lit("+"), F.lit("%2B"))), U.path(url)), "/+", "/"), "/$", "")
-    return F.when((host != "") & (path != ""), F.lower(F.concat(host, path)))
+    path = T.bound(U.path(url), lambda p: F.regexp_replace(F.regexp_replace(F.coalesce(F.try_url_decode(F.replace(p, F.lit("+"), F.lit("%2B"))), p), "/+", "/"), "/$", ""))
+    return T.bound(F.struct(host.alias("host"), path.alias("path")), lambda u: F.when((u["host"] != "") & (u["path"] != ""), F.lower(F.concat(u["host"], u["path"]))))
 
 
 def case_keys(name: Column, acquirer: Column, target: Column, url: Column) -> Column:
     """Tagged keys of a report case: parties, name and source, as far as there are any."""
     core = F.split(F.regexp_replace(F.coalesce(name, F.lit("")), _PREFIX, ""), "[:：]", 2)[0]
-    inferred = S.split_parties(core)
-    a, t = (report_party(S.or_else(own, other)) for own, other in zip((acquirer, target), inferred, strict=True))
-    keys = (F.when((a != "") & (t != ""), F.concat(F.lit("party:"), a, F.lit("->"), t)), F.when(case_title(core) != "", F.concat(F.lit("name:"), case_title(core))), F.concat(F.lit("url:"), url_identity(url)))
-    return F.filter(F.array(*keys), lambda k: k.isNotNull())
+
+    def keyed(core: Column) -> Column:
+        parties = F.struct(*[report_party(S.or_else(own, other)).alias(n) for n, own, other in zip("at", (acquirer, target), S.split_parties(core), strict=True)])
+        both = T.bound(parties, lambda p: F.when((p["a"] != "") & (p["t"] != ""), F.concat(F.lit("party:"), p["a"], F.lit("->"), p["t"])))
+        title = T.bound(case_title(core), lambda n: F.when(n != "", F.concat(F.lit("name:"), n)))
+        return F.filter(F.array(both, title, F.concat(F.lit("url:"), url_identity(url))), lambda k: k.isNotNull())
+
+    return T.bound(core, keyed)
 
 
 def holding_pairs(names: DataFrame, least: int) -> DataFrame:
