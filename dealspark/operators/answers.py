@@ -14,7 +14,7 @@ from dealspark.operators.articles import plan_rules
 from dealspark.operators.expectations import issues
 from dealspark.operators.facts import clean_list
 from dealspark.operators.selection import global_position
-from dealspark.session import ship_package
+from dealspark.session import ship_package, task_count
 
 #: Rows a batch is made of, records of an answer that count, tries for each batch.
 BATCH, RECORDS, TRIES = 20, 12, 2
@@ -46,6 +46,7 @@ def answered(items: DataFrame, key: str, model: Callable[[int, pd.DataFrame], st
         return pd.DataFrame({"batch": [number], "answer": [None], "error": [error], "tried": [tries]})
 
     placed = global_position(items, key, "__position").withColumn("__batch", F.floor(F.col("__position") / size))
+    placed = placed.repartition(task_count(items), "__batch")  # a batch costs a call of the model, not its bytes
     return placed.groupBy("__batch").applyInPandas(ask, "batch long, answer string, error string, tried int")
 
 

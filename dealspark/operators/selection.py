@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealspark.session import stored
+from dealspark.session import stored, task_count
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -23,10 +23,10 @@ def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
 def global_position(df: DataFrame, key: str, name: str = "position") -> DataFrame:
     """0-based position in the order of a unique key, without sorting all rows in one task.
 
-    Rows are dealt to ranges of the key that Spark sizes by a sample, whatever the key's values, and stored with their range; the
+    Rows are dealt to ranges of the key that Spark bounds by a sample, whatever the key's values, and stored with their range; the
     ranges' first positions come from a window over one count for each of them.
     """
-    ranges = stored(df.repartitionByRange(key).withColumn("__range", F.spark_partition_id()))
+    ranges = stored(df.repartitionByRange(task_count(df), key).withColumn("__range", F.spark_partition_id()))
     counts = ranges.groupBy("__range").agg(F.count("*").alias("__n"))
     before = counts.select("__range", (F.sum("__n").over(Window.orderBy("__range")) - F.col("__n")).alias("__before"))
     own = F.row_number().over(Window.partitionBy("__range").orderBy(key)) - 1
