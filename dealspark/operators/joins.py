@@ -92,11 +92,19 @@ def fallback_union(primary: DataFrame, secondary: DataFrame) -> DataFrame:
 
 
 def manifest_matches(documents: DataFrame, records: DataFrame) -> DataFrame:
-    """(id, record) of documents (id, path, stem) and records (record, file, name) that have the path or its last part, or whose name the stem holds: one join for each."""
+    """(id, record) of documents (id, path, stem) and records (record, file, name) that have the path or its last part, or whose name the stem holds.
+
+    Names are looked up in the distinct stems, and the pairs of texts are turned into ids last: very many documents of one stem and records of one
+    name make that many rows of the result, but none that is shuffled. A path in common is a last part in common, and rows by name leave those out,
+    so that nothing occurs twice unless an id does.
+    """
     base = lambda c: F.regexp_extract(c, "([^/]*)$", 1)
-    parts = [
-        documents.join(records.where("file is not null"), F.col("path") == F.col("file")).select("id", "record"),
-        documents.withColumn("base", base("path")).join(records.where("file is not null").select("record", base("file").alias("base")), "base").select("id", "record"),
-        contained_in(documents.select("id", "stem"), records.select("record", "name"), "stem", "name", "id", "record"),
-    ]
-    return reduce(DataFrame.union, parts).distinct()
+    docs = documents.select("id", base("path").alias("base"), "stem").distinct()
+    own = records.select("record", base("file").alias("file_base"), "name").distinct()
+    named = docs.join(own, F.col("base") == F.col("file_base")).select("id", "record").distinct()
+    stems, names = docs.select("stem").where("stem is not null").distinct(), own.select("name").where("name <> ''").distinct()
+    held = contained_in(stems.withColumn("text", F.col("stem")), names.withColumn("passage", F.col("name")), "text", "passage", "stem", "name")
+    met = docs.join(held, "stem").join(own, "name").where(~F.coalesce(F.col("base") == F.col("file_base"), F.lit(False))).select("id", "record")
+    if any(not rows.groupBy(key).count().where("count > 1").isEmpty() for rows, key in ((docs, "id"), (own, "record"))):
+        return named.union(met).distinct()
+    return named.union(met)
