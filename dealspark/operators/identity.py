@@ -1,8 +1,8 @@
 """Case identities: tagged keys, fuzzy equality of keys by joins on character runs, history splits and first-wins dedupe.
 
 Two keys of one kind match if they are equal; party keys also if both sides match, names also if one holds the other. Holding is
-looked up by the rarest run of characters of the shorter name among the runs of the longer ones and confirmed then, so that
-nothing is compared with everything.
+looked up by a run of characters of the shorter name, nearly as long as itself, among the runs of the longer ones and confirmed
+then, so that nothing is compared with everything.
 """
 
 from __future__ import annotations
@@ -67,12 +67,24 @@ def case_keys(name: Column, acquirer: Column, target: Column, url: Column) -> Co
 
 
 def holding_pairs(names: DataFrame, least: int) -> DataFrame:
-    """(short, long) of distinct names of which the long one holds the short one, which has at least so many characters."""
-    runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("name") - (least - 1)), lambda i: F.substr("name", i, F.lit(least))))
-    rows = names.where(F.length("name") >= least).select("name", F.explode(runs).alias("run"))
-    counts = rows.groupBy("run").agg(F.count("*").alias("n"))
-    rarest = rows.join(counts, "run").groupBy(F.col("name").alias("short")).agg(F.min_by("run", F.struct("n", "run")).alias("run"))
-    return rarest.join(rows.withColumnRenamed("name", "long"), "run").where((F.col("short") != F.col("long")) & F.contains("long", F.col("short"))).select("short", "long")
+    """(short, long) of distinct names of which the long one holds the short one, which has at least so many characters.
+
+    Names are made of few parts, so that a run of a fixed few characters is in very many of them. Lengths of runs grow by a quarter, and a short
+    name is looked up by the rarest of its runs of the greatest length that it has: nearly the whole name. A longer name offers hashes of
+    its runs of all those lengths, and is fetched by its own hash to be confirmed.
+    """
+    names = names.where(F.length("name") >= least)
+    longest, sizes = names.agg(F.max(F.length("name"))).first()[0] or 0, [least]
+    while (size := max(sizes[-1] + 1, sizes[-1] * 5 // 4)) <= longest:
+        sizes.append(size)
+    fitting = F.filter(F.array(*[F.lit(s) for s in sizes]), lambda s: s <= F.length("name"))
+    runs = lambda s: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("name") - s + 1), lambda i: F.xxhash64(F.substr("name", i, s))))
+    offered = names.select(F.xxhash64("name").alias("held"), F.explode(F.flatten(F.transform(fitting, runs))).alias("run"))
+    counts = offered.groupBy("run").agg(F.count("*").alias("n"))
+    own = names.select(F.col("name").alias("short"), F.explode(T.bound(F.array_max(fitting), runs)).alias("run"))
+    rarest = own.join(counts, "run").groupBy("short").agg(F.min_by("run", F.struct("n", "run")).alias("run"))
+    met = rarest.join(offered, "run").select("short", "held").join(names.select(F.col("name").alias("long"), F.xxhash64("name").alias("held")), "held")
+    return met.where((F.col("short") != F.col("long")) & F.contains("long", F.col("short"))).select("short", "long").distinct()
 
 
 def _both_ways(pairs: DataFrame, names: DataFrame) -> DataFrame:

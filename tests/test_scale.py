@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from dealspark.functions import cjk as C
 from dealspark.functions import signals as S
 from dealspark.functions import text as T
-from dealspark.operators import answers, identity, selection
+from dealspark.operators import answers, identity, joins, selection
 from dealspark.plans.filings import filings
 
 
@@ -51,3 +51,27 @@ def test_values_read_often_are_evaluated_once(spark, expression, most):
 def test_bound_value(spark):
     df = spark.createDataFrame([("a ",), (None,)], "v string").select(T.bound(F.trim("v"), lambda x: F.coalesce(F.concat(x, x), F.lit("none"))).alias("x"))
     assert [r["x"] for r in df.collect()] == ["aa", "none"]
+
+
+def test_holding_pairs_of_names_made_of_few_parts(spark):
+    """All pairs are found, and candidates stay few although every short run is in very many names."""
+    numbers = "零一二三四五六七八九"
+    digits = lambda n: "".join(numbers[int(c)] for c in str(n))
+    names = {f"{p}星河{digits(a)}科技{f}收购东方{digits(b)}材料" for p in ("", "北京") for f in ("", "集团") for a in range(0, 40, 3) for b in range(0, 200, 7)}
+    names |= {"收购东方一", "星河三科技收", "短"}
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    found = [(r["short"], r["long"]) for r in identity.holding_pairs(df, 6).collect()] + [(r["short"], r["long"]) for r in identity.holding_pairs(df.where("length(name) < 5"), 6).collect()]
+    assert len(found) == len(set(found)) and set(found) == {(s, n) for s in names for n in names if len(s) >= 6 and s != n and s in n}
+    assert "xxhash64" in plan(identity.holding_pairs(df, 6))
+
+
+def test_manifest_matches_of_shared_names(spark):
+    """Equal stems are looked up once, and no row of the result is shuffled; ids that occur twice still give each pair once."""
+    docs = spark.createDataFrame([(i, f"a/{i}.docx", "星河科技收购东方") for i in range(50)] + [(50, None, None), (51, "b/9.docx", "")], "id long, path string, stem string")
+    records = spark.createDataFrame([(i, f"x/{i}.docx" if i < 5 else None, "星河科技") for i in range(40)] + [(40, "b/9.docx", "")], "record long, file string, name string")
+    expected = {(i, k) for i in range(50) for k in range(40)} | {(9, 40), (51, 40)}
+    for d, r in ((docs, records), (docs.union(docs.limit(1).selectExpr("id", "'z'", "stem")), records)):
+        found = [tuple(x) for x in joins.manifest_matches(d, r).collect()]
+        assert len(found) == len(set(found)) and set(found) == expected
+    text = plan(joins.manifest_matches(docs, records))
+    assert not text.startswith("Aggregate")
