@@ -67,15 +67,20 @@ def character_runs(text: Column, size: int) -> Column:
 def lowest_within(left: DataFrame, right: DataFrame, group: str, value: str, payload: str, reach: int) -> DataFrame:
     """(group, value, lowest): for every group and whole-number value of the left side, the lowest payload of right rows whose value is at most ``reach`` away.
 
-    Both sides are first reduced to one row a group and value. Right rows then go to every band of twice the reach that they can
-    matter to (two at most), and a range window inside each band finds the lowest.
+    Both sides are first reduced to one row a group and value. Values lie in blocks as wide as what is asked for, so that it begins in one block
+    and ends in the same or the next: the lowest is that of a running minimum back from the end of the first block to where it begins and one from
+    the start of the last block to where it ends. A running minimum costs a row once, a sliding one would cost it for every row in reach.
     """
-    width = 2 * reach
-    lows = right.groupBy(group, value).agg(F.min(payload).alias("low"))
-    lows = lows.select(group, value, "low", F.explode(F.array_distinct(F.array(F.floor((F.col(value) - reach) / width), F.floor((F.col(value) + reach) / width)))).alias("band"), F.lit(False).alias("asked"))
-    asked = left.select(group, value).distinct().select(group, value, F.lit(None).cast(lows.schema["low"].dataType).alias("low"), F.floor(F.col(value) / width).alias("band"), F.lit(True).alias("asked"))
-    near = Window.partitionBy(group, "band").orderBy(value).rangeBetween(-reach, reach)
-    return lows.unionByName(asked).withColumn("lowest", F.min("low").over(near)).where("asked and lowest is not null").select(group, value, "lowest")
+    width = 2 * reach + 1
+    lows = right.groupBy(group, value).agg(F.min(payload).alias("low")).select(group, F.col(value).alias("at"), "low", F.lit(None).cast(left.schema[value].dataType).alias(value), F.lit(0).alias("end"))
+    asked = left.select(group, value).distinct().withColumn("end", F.explode(F.array(F.lit(-1), F.lit(1))))
+    asked = asked.select(group, (F.col(value) + F.col("end") * reach).alias("at"), F.lit(None).cast(lows.schema["low"].dataType).alias("low"), value, "end")
+    rows = lows.unionByName(asked).withColumn("block", F.floor(F.col("at") / width))
+    block = Window.partitionBy(group, "block")
+    running = lambda order: F.min("low").over(block.orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    told = rows.withColumns({"up": running(F.asc("at")), "down": running(F.desc("at"))}).where("end <> 0")
+    lowest = F.min(F.when(F.col("end") < 0, F.col("down")).otherwise(F.col("up"))).alias("lowest")
+    return told.groupBy(group, value).agg(lowest).where("lowest is not null")
 
 
 def best_match(candidates: DataFrame, left: str, score: Column, order: Column, least: int, *payload: str) -> DataFrame:

@@ -11,7 +11,7 @@ from dealspark.catalogue import query
 from dealspark.functions import text as T
 from dealspark.functions import vocab as V
 from dealspark.operators import dedupe, expectations, identity, joins, selection
-from dealspark.session import table
+from dealspark.session import spread, table, task_count
 
 SPACE_SQL = r"[\s\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 NORM_SQL = f"lower(trim(regexp_replace(replace(replace(replace(replace(replace(replace(coalesce(text, ''), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&'), '{SPACE_SQL}', ' ', 'g')))"
@@ -81,16 +81,26 @@ def fuzzy_first_wins(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", "p_brand", F.lower("p_name").alias("name")).join(kept, "p_partkey", "left_semi")
 
 
+#: Suppliers up to which they are broadcast; beyond it Spark joins them by key.
+_FEW_SUPPLIERS = 1_000_000
+
+
 @query(
     "equi_then_fuzzy_match",
     """SELECT c_custkey, s_suppkey, c_nationkey = s_nationkey AND right(c_name, 3) = right(s_name, 3) AS exact_match
     FROM customer JOIN supplier ON c_nationkey = s_nationkey WHERE right(c_name, 3) = right(s_name, 3) OR contains(c_name, right(s_name, 2))""",
 )
 def equi_then_fuzzy_match(spark: SparkSession, d: str) -> DataFrame:
-    """A name that ends in the same three characters holds the last two, so one lookup among its runs of two finds both kinds."""
+    """A name that ends in the same three characters holds the last two, so one lookup among its runs of two finds both kinds.
+
+    The result grows with customers times suppliers, and a few thousand keys of very unequal size make it: it is made where the customers
+    are, dealt over all cores, not where a key is.
+    """
     pairs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("c_name") - 1), lambda i: F.substr("c_name", i, F.lit(2))))
-    c = table(spark, d, "customer").where(F.length("c_name") >= 2).select("c_custkey", "c_name", F.col("c_nationkey").alias("nation"), F.explode(pairs).alias("run"))
+    c = spread(table(spark, d, "customer").where(F.length("c_name") >= 2), "c_custkey").select("c_custkey", "c_name", F.col("c_nationkey").alias("nation"), F.explode(pairs).alias("run"))
     s = table(spark, d, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").alias("nation"), F.substring("s_name", -2, 2).alias("run"))
+    if s.count() <= _FEW_SUPPLIERS:
+        s = F.broadcast(s)
     return c.join(s, ["nation", "run"]).select("c_custkey", "s_suppkey", (F.substring("c_name", -3, 3) == F.substring("s_name", -3, 3)).alias("exact_match"))
 
 
@@ -280,6 +290,9 @@ def identity_explode(spark: SparkSession, d: str) -> DataFrame:
     UNION ALL SELECT 'negative_balance' FROM customer WHERE c_acctbal < 0 UNION ALL SELECT 'order_without_lines' FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)) GROUP BY 1""")
 def expectation_union(spark: SparkSession, d: str) -> DataFrame:
     lines, orders, customers = (table(spark, d, t) for t in ("lineitem", "orders", "customer"))
+    # tasks by rows: two narrow columns of very many lines are few bytes in a shuffle, but not in the task that sorts them; both joins read one deal
+    n = task_count(lines)
+    lines, orders = lines.select("l_orderkey", "l_shipdate").repartition(n, "l_orderkey"), orders.select("o_orderkey", "o_orderdate").repartition(n, "o_orderkey")
     early = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).where("l_shipdate < o_orderdate")
     bare = orders.join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left_anti")
     found = expectations.violations([("shipped_before_ordered", early, "l_orderkey"), ("negative_balance", customers.where("c_acctbal < 0"), "c_custkey"), ("order_without_lines", bare, "o_orderkey")])

@@ -1,12 +1,17 @@
 """Costly queries on few bytes use all cores, values read often are evaluated once, joins keep to the input's size."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from dealspark.functions import cjk as C
+from dealspark.functions import pages as P
 from dealspark.functions import signals as S
 from dealspark.functions import text as T
 from dealspark.operators import answers, identity, joins, selection
+from dealspark.plans import records
 from dealspark.plans.filings import filings
 
 
@@ -75,3 +80,37 @@ def test_manifest_matches_of_shared_names(spark):
         assert len(found) == len(set(found)) and set(found) == expected
     text = plan(joins.manifest_matches(docs, records))
     assert not text.startswith("Aggregate")
+
+
+def test_lowest_within_by_running_minima(spark):
+    """Equal to all pairs, negative values and edges included, without a sliding frame."""
+    rng = random.Random(5)
+    left = [(rng.randrange(3), rng.randrange(-300, 900)) for _ in range(300)] + [(7, 1)]
+    right = [(rng.randrange(3), rng.randrange(-300, 900), rng.randrange(10_000)) for _ in range(150)]
+    own, other = spark.createDataFrame(left, "g int, v long"), spark.createDataFrame(right, "g int, v long, p long")
+    for reach in (1, 40, 49):
+        found = joins.lowest_within(own, other, "g", "v", "p", reach)
+        expected = {(g, v, min(ps)) for g, v in set(left) if (ps := [p for h, w, p in right if h == g and abs(v - w) <= reach])}
+        rows = [tuple(r) for r in found.collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == expected
+        assert not re.search(r"RangeFrame, -\d", plan(found))
+
+
+def test_narrow_tables_are_joined_in_tasks_by_rows(spark, one_group):
+    """Both joins of the rules read one deal of the lines, by rows; the pairs of names are made where the customers are."""
+    lines = spark.range(6000).select((F.col("id") % 3000).alias("l_orderkey"), F.expr("timestamp_ntz'1995-12-30' + make_interval(0, 0, 0, cast(id % 7 as int))").alias("l_shipdate"))
+    customers = spark.range(3000).select(F.col("id").alias("c_custkey"), F.format_string("Customer#%09d", "id").alias("c_name"), (F.col("id") % 3).cast("int").alias("c_nationkey"), (F.col("id") - 10.0).alias("c_acctbal"))
+    for name, df in (("lineitem", lines), ("customer", customers), ("supplier", customers.limit(50).toDF("s_suppkey", "s_name", "s_nationkey", "s_acctbal"))):
+        df.coalesce(1).write.mode("overwrite").parquet(f"{one_group}/{name}.parquet")
+    found = records.expectation_union(spark, one_group)
+    assert {r["rule"]: r["n"] for r in found.collect()} == {"shipped_before_ordered": sum(i % 7 < 3 for i in range(6000)), "negative_balance": 10, "order_without_lines": 1000}
+    assert "RepartitionByExpression" in plan(found)
+    pairs = records.equi_then_fuzzy_match(spark, one_group)
+    assert pairs.select(F.spark_partition_id()).distinct().count() > 2
+
+
+def test_pages_are_read_in_small_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+    df = spark.range(0, 1500, 1, 1).select("id", P.read_pages(F.format_string("<title>t%d</title><p>x", "id"))["title"].alias("t"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 512
+    assert df.where("t <> concat('t', id)").count() == 0 and df.count() == 1500
