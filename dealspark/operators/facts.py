@@ -14,6 +14,7 @@ from dealspark.functions import cjk as C
 from dealspark.functions import signals as S
 from dealspark.functions import text as T
 from dealspark.functions import vocab as V
+from dealspark.session import task_count
 
 _PARTS = ("numeric_facts", "summary", "extracted_text")
 #: Research rows of a case that its fact pack reads, as fixed by the report's own limit on evidence.
@@ -105,6 +106,7 @@ def fact_packs(cases: DataFrame, research: DataFrame, evidence: int = EVIDENCE_R
     ref = F.when((F.coalesce("url", F.lit("")) != "") | (F.coalesce("source_name", F.lit("")) != ""), F.substring(ref, 1, 320))
     row = F.struct("place", *[F.trim(F.coalesce(c, F.lit(""))).alias(c) for c in (*_PARTS, "title")], S.or_else(F.col("title"), F.coalesce("source_name", F.lit(""))).alias("named"), ref.alias("ref"))
     research = _first_rows(research.select("case_id", "place", "title", "source_name", "url", *_PARTS), evidence, ("case_id",), ("place", *_PARTS, "title", "source_name", "url"))
+    research = research.repartition(task_count(cases), "case_id")  # by cases: what is read from their texts costs far more than the texts' bytes tell
     rows = research.groupBy("case_id").agg(F.array_sort(F.collect_list(row)).alias("m"), F.count_if(S.is_primary_source(url)).alias("authoritative"))
     joined = cases.join(rows.withColumnRenamed("case_id", "id"), "id", "left").withColumns({"m": F.coalesce("m", F.array().cast(rows.schema["m"].dataType)), "authoritative": F.coalesce("authoritative", F.lit(0))})
     texts = lambda *names: F.filter(F.flatten(F.transform("m", lambda x: F.array(*[x[n] for n in names]))), lambda v: v != "")

@@ -11,7 +11,7 @@ from dealspark.functions import pages as P
 from dealspark.functions import signals as S
 from dealspark.functions import text as T
 from dealspark.operators import answers, identity, joins, reconcile, selection
-from dealspark.plans import records
+from dealspark.plans import records, reports
 from dealspark.plans.filings import filings
 
 
@@ -127,3 +127,8 @@ def test_points_of_batches_with_few_and_with_many_parts(spark, monkeypatch):
     few = sorted(tuple(r) for r in found.collect())
     monkeypatch.setattr(reconcile, "SCANNED", 0)
     assert few and few == sorted(tuple(r) for r in reconcile.matched_points(cases_, items).collect())
+
+
+def test_fact_packs_of_few_bytes_are_many_tasks(spark, one_group):
+    packs = reports.fact_packs(spark, one_group)
+    assert packs.select("id", F.spark_partition_id().alias("p")).agg(F.countDistinct("p").alias("n"), F.count("*").alias("rows")).first()["n"] > 2
