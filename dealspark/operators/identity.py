@@ -71,40 +71,52 @@ def holding_pairs(names: DataFrame, least: int) -> DataFrame:
 
     Names are made of few parts, so that a run of a fixed few characters is in very many of them. Lengths of runs grow by a quarter, and a short
     name is looked up by the rarest of its runs of the greatest length that it has: nearly the whole name. A longer name offers hashes of
-    its runs of all those lengths, and is fetched by its own hash to be confirmed.
+    its runs of all those lengths, and is fetched by its own hash to be confirmed. If names have ``sides`` (1 left, 2 right, 3 both), only
+    pairs of a left and a right name are made.
     """
-    names = names.where(F.length("name") >= least)
+    names = names.where(F.length("name") >= least).select("name", "sides" if "sides" in names.columns else F.lit(3).alias("sides"))
     longest, sizes = names.agg(F.max(F.length("name"))).first()[0] or 0, [least]
     while (size := max(sizes[-1] + 1, sizes[-1] * 5 // 4)) <= longest:
         sizes.append(size)
     fitting = F.filter(F.array(*[F.lit(s) for s in sizes]), lambda s: s <= F.length("name"))
     runs = lambda s: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("name") - s + 1), lambda i: F.xxhash64(F.substr("name", i, s))))
-    offered = names.select(F.xxhash64("name").alias("held"), F.explode(F.flatten(F.transform(fitting, runs))).alias("run"))
+    offered = names.select(F.xxhash64("name").alias("held"), F.col("sides").alias("held_sides"), F.explode(F.flatten(F.transform(fitting, runs))).alias("run"))
     counts = offered.groupBy("run").agg(F.count("*").alias("n"))
-    own = names.select(F.col("name").alias("short"), F.explode(T.bound(F.array_max(fitting), runs)).alias("run"))
-    rarest = own.join(counts, "run").groupBy("short").agg(F.min_by("run", F.struct("n", "run")).alias("run"))
-    met = rarest.join(offered, "run").select("short", "held").join(names.select(F.col("name").alias("long"), F.xxhash64("name").alias("held")), "held")
+    own = names.select(F.col("name").alias("short"), "sides", F.explode(T.bound(F.array_max(fitting), runs)).alias("run"))
+    rarest = own.join(counts.hint("merge"), "run").groupBy("short", "sides").agg(F.min_by("run", F.struct("n", "run")).alias("run"))
+    wanted = F.expr("(sides & 1) * (held_sides & 2) + (sides & 2) * (held_sides & 1) > 0")
+    met = rarest.join(offered.hint("merge"), "run").where(wanted).select("short", "held").join(names.select(F.col("name").alias("long"), F.xxhash64("name").alias("held")).hint("merge"), "held")
     return met.where((F.col("short") != F.col("long")) & F.contains("long", F.col("short"))).select("short", "long").distinct()
 
 
+def _sided(own: DataFrame, old: DataFrame, *keys: str) -> DataFrame:
+    """Distinct values of some columns with ``sides``, where they are (1 left, 2 right, 3 both), and n, how often on the right."""
+    both = own.select(*keys, F.lit(1).alias("sides"), F.lit(0).alias("n")).union(old.select(*keys, F.lit(2).alias("sides"), F.lit(1).alias("n")))
+    return both.groupBy(*keys).agg(F.bit_or("sides").alias("sides"), F.sum("n").alias("n"))
+
+
 def _both_ways(pairs: DataFrame, names: DataFrame) -> DataFrame:
-    """(left, right) of equal names and of those that hold one another."""
-    return names.select(F.col("name").alias("left"), F.col("name").alias("right")).union(pairs.select("short", "long")).union(pairs.select("long", "short"))
+    """(left, right) of equal names and of those that hold one another, as far as names have that side."""
+    same = names.where("sides = 3").select(F.col("name").alias("left"), F.col("name").alias("right"))
+    met = same.union(pairs.select("short", "long")).union(pairs.select("long", "short"))
+    for side, bit in (("left", 1), ("right", 2)):
+        met = met.join(names.where(F.col("sides").bitwiseAND(bit) > 0).select(F.col("name").alias(side)).hint("merge"), side, "left_semi")
+    return met.select("left", "right")
 
 
-def _party_pairs(parties: DataFrame, scratch: Scratch) -> DataFrame:
-    """(key, other) of distinct party keys (key, a, t) of which both sides match.
+def _party_pairs(parties: DataFrame, others: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, other) of distinct party keys (key, a, t) and others of which both sides match.
 
     A key is looked up by the cheapest of three ways: through all keys of the names that match its first side, through those that match its
     second side, or by every pair of names that match the two. A name that very many keys share, or a short one that very many names hold, costs
-    much in one of them only.
+    much in one of them only. Tables that grow with the keys are never broadcast: many at once, each small as Parquet, fill the driver.
     """
-    other, sides, weighed = parties.select(F.col("key").alias("other"), F.col("a").alias("a2"), F.col("t").alias("t2")), {}, parties
+    other, sides, weighed = others.select(F.col("key").alias("other"), F.col("a").alias("a2"), F.col("t").alias("t2")).hint("merge"), {}, parties
     for side in ("a", "t"):
-        names = scratch.stored(parties.groupBy(F.col(side).alias("name")).agg(F.count("*").alias("n")))
-        pairs = scratch.stored(_both_ways(holding_pairs(names.select("name"), LEAST_PARTY), names))
-        load = pairs.join(names.withColumnRenamed("name", "right"), "right").groupBy(F.col("left").alias(side)).agg(F.count("*").alias(f"{side}_names"), F.sum("n").alias(f"{side}_keys"))
-        sides[side], weighed = pairs.withColumnsRenamed({"left": side, "right": f"{side}2"}), weighed.join(load, side)
+        names = scratch.stored(_sided(parties, others, side).withColumnRenamed(side, "name"))
+        pairs = scratch.stored(_both_ways(holding_pairs(names, LEAST_PARTY), names))
+        load = pairs.join(names.select(F.col("name").alias("right"), "n").hint("merge"), "right").groupBy(F.col("left").alias(side)).agg(F.count("*").alias(f"{side}_names"), F.sum("n").alias(f"{side}_keys"))
+        sides[side], weighed = pairs.withColumnsRenamed({"left": side, "right": f"{side}2"}).hint("merge"), weighed.join(load.hint("merge"), side)
     product = F.col("a_names") * F.col("t_names")
     cheapest = F.when((product <= F.col("a_keys")) & (product <= F.col("t_keys")), "both").when(F.col("a_keys") <= F.col("t_keys"), "a").otherwise("t")
     weighed = scratch.stored(weighed.select("key", "a", "t", cheapest.alias("way")))
@@ -115,26 +127,34 @@ def _party_pairs(parties: DataFrame, scratch: Scratch) -> DataFrame:
     return found[0].union(found[1]).union(found[2]).where("key <> other")
 
 
-def matching_keys(keys: DataFrame, scratch: Scratch) -> DataFrame:
-    """(left, right) of distinct keys that match, each pair both ways and each key with itself."""
+def matching_keys(keys: DataFrame, scratch: Scratch, others: DataFrame | None = None) -> DataFrame:
+    """(left, right) of distinct keys and of others that match, a key with itself too; without others, of the keys among themselves, both ways."""
     keys = scratch.stored(keys.select("key").distinct())
-    same = keys.select(F.col("key").alias("left"), F.col("key").alias("right"))
-    named = keys.where(F.startswith("key", F.lit("name:")) | F.startswith("key", F.lit("title:"))).select("key", F.split("key", ":", 2)[0].alias("kind"), F.split("key", ":", 2)[1].alias("name"))
-    held = holding_pairs(named.select("name").distinct(), LEAST_NAME)
-    held = held.join(named.select(F.col("name").alias("short"), "kind"), "short").join(named.select(F.col("name").alias("long"), "kind"), ["long", "kind"])
-    held = held.select(F.concat("kind", F.lit(":"), "short").alias("short"), F.concat("kind", F.lit(":"), "long").alias("long"))
-    parties = keys.where(F.startswith("key", F.lit("party:"))).select("key", F.split(F.substr("key", F.lit(7)), "->", 2).alias("p")).select("key", F.col("p")[0].alias("a"), F.col("p")[1].alias("t"))
-    met = _party_pairs(parties, scratch)
-    out = same.union(held.select("short", "long")).union(held.select("long", "short")).union(met.select("key", "other"))
+    others = keys if others is None else scratch.stored(others.select("key").distinct())
+    same = keys if others is keys else keys.join(others.hint("merge"), "key", "left_semi")
+
+    def named(table: DataFrame) -> DataFrame:
+        tagged = table.where(F.startswith("key", F.lit("name:")) | F.startswith("key", F.lit("title:")))
+        return tagged.select("key", F.split("key", ":", 2)[0].alias("kind"), F.split("key", ":", 2)[1].alias("name"))
+
+    def parties(table: DataFrame) -> DataFrame:
+        tagged = table.where(F.startswith("key", F.lit("party:"))).select("key", F.split(F.substr("key", F.lit(7)), "->", 2).alias("p"))
+        return tagged.select("key", F.col("p")[0].alias("a"), F.col("p")[1].alias("t"))
+
+    held = scratch.stored(holding_pairs(_sided(named(keys), named(others), "name"), LEAST_NAME))
+    out = same.select(F.col("key").alias("left"), F.col("key").alias("right")).union(_party_pairs(parties(keys), parties(others), scratch).select("key", "other"))
+    for left, right in (("short", "long"), ("long", "short")):
+        own = held.join(named(keys).select(F.col("key").alias("left"), "kind", F.col("name").alias(left)).hint("merge"), left)
+        out = out.union(own.join(named(others).select(F.col("key").alias("right"), "kind", F.col("name").alias(right)).hint("merge"), [right, "kind"]).select("left", "right"))
     return scratch.stored(out.distinct())
 
 
 def seen_before(cases: DataFrame, history: DataFrame, id: str = "id") -> DataFrame:
-    """Ids of cases (id, keys) of which a key matches one of the history (keys)."""
+    """Ids of cases (id, keys) of which a key matches one of the history (keys); keys of the history are not compared with one another."""
     scratch = Scratch(cases.sparkSession)
-    own, old = cases.select(id, F.explode("keys").alias("key")), history.select(F.explode("keys").alias("key")).distinct()
-    matched = matching_keys(own.select("key").union(old), scratch).join(old.withColumnRenamed("key", "right"), "right", "left_semi")
-    return own.join(matched.select(F.col("left").alias("key")).distinct(), "key").select(id).distinct()
+    own = cases.select(id, F.explode("keys").alias("key"))
+    matched = matching_keys(own, scratch, history.select(F.explode("keys").alias("key")))
+    return own.join(matched.select(F.col("left").alias("key")).distinct().hint("merge"), "key").select(id).distinct()
 
 
 def split_by_history(cases: DataFrame, history: DataFrame, id: str = "id") -> DataFrame:

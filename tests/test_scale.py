@@ -132,3 +132,15 @@ def test_points_of_batches_with_few_and_with_many_parts(spark, monkeypatch):
 def test_fact_packs_of_few_bytes_are_many_tasks(spark, one_group):
     packs = reports.fact_packs(spark, one_group)
     assert packs.select("id", F.spark_partition_id().alias("p")).agg(F.countDistinct("p").alias("n"), F.count("*").alias("rows")).first()["n"] > 2
+
+
+def test_history_is_not_compared_with_itself(spark, monkeypatch):
+    """Pairs are made of cases and history only, and no table of keys is broadcast, whose size the driver would hold."""
+    made, stored = [], identity.Scratch.stored
+    monkeypatch.setattr(identity.Scratch, "stored", lambda self, df: made.append((stored(self, df), df._jdf.queryExecution().executedPlan().toString())) or made[-1][0])
+    old = [([f"party:abc{i}->xyz", f"name:abcdef{'g' * i}"],) for i in range(60)]
+    cases = spark.createDataFrame([(1, ["party:abc->xyzz"]), (2, ["name:bcdefg"]), (3, ["party:none->xyz"]), (4, ["url:u"]), (5, ["title:bcdefg"]), (6, [])], "id int, keys array<string>")
+    got = identity.split_by_history(cases, spark.createDataFrame([*old, (["url:u"],)], "keys array<string>")).collect()
+    assert {r["id"]: r["seen"] for r in got} == {1: True, 2: True, 3: False, 4: True, 5: False, 6: False}
+    assert made[-1][0].columns == ["left", "right"] and made[-1][0].count() == 60 + 59 + 1
+    assert not [p for _, p in made if "BroadcastHashJoin" in p]
