@@ -2,11 +2,10 @@
 
 A text is described by numbers that its bytes give (shares of character kinds, word shapes, repetition). Each
 training pair holds a text that is labelled good and one that is not; logistic loss on the difference of their
-descriptions learns a score under which the good text tends to be ahead. A quantile of the training scores
+descriptions learns a score under which the good text tends to be ahead. The score that parts the training rows best
 becomes the threshold, and the score is scaled so that the threshold is 0.5.
 
-Learning uses labelled rows only, at most ``PER_CLASS`` of each class in the order of a hash of doc_id,
-and ``PAIRS`` pairs of them.
+Learning uses all labelled rows and every pair of a good and a bad one, by counts of scores in steps of an eighth.
 
 Defined cases: null and empty texts have the description of a text without characters (all 0) and its
 score; whole texts are read; repeated rows get equal scores; without labelled rows of
@@ -15,6 +14,7 @@ both classes every score is 0.5; other columns don't matter; an empty table give
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealspark.llm import kernels as K
-from dealspark.llm.scoring import labelled_sample, score_column, scored
-from dealspark.session import table
+from dealspark.llm.scoring import labelled, score_column, scored
+from dealspark.session import Scratch, table
 
-PER_CLASS = 12_000
-PAIRS = 60_000
 FEATURES = 20
 _KIND = np.zeros(256, np.uint8)  # 0 other letters and bytes, then as named below
 _UPPER, _DIGIT, _STOP, _JUNK, _BAR, _BANG, _LINE, _BLANK = range(1, 9)
@@ -131,51 +129,124 @@ class Ranking:
         return 1 / (1 + np.exp(-np.clip(self.scale * (self.rank(describe(texts)) - self.threshold), -30, 30)))
 
 
-def bradley_terry(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS) -> Ranking:
-    """Learn from descriptions x and labels y (0 or 1)."""
-    blank = Ranking(np.zeros(x.shape[1]), np.ones(x.shape[1]), np.zeros(2 * x.shape[1]), 0.0, 1.0)
-    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    if not len(good) or not len(bad):
-        return blank
-    model = Ranking(x.mean(0), np.maximum(x.std(0), 1e-6), blank.weights, 0.0, 1.0)
-    z = model.design(x)
-    rng = np.random.default_rng(3)
-    lead, weights = z[rng.choice(good, pairs)] - z[rng.choice(bad, pairs)], np.zeros(z.shape[1])
+#: Scores at which the rows of a class are counted (a row between two counts in parts at both), and at which their descriptions are summed.
+_FINE, _COARSE = np.linspace(-64, 64, 1025), np.linspace(-64, 64, 257)
+#: Bins of the scores that may become the threshold.
+BINS = 8192
+
+
+def _parts(s: np.ndarray, grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each score the grid's point before it and the share of the next one."""
+    at = (np.clip(s, grid[0], grid[-1]) - grid[0]) / (grid[1] - grid[0])
+    low = np.minimum(at.astype(np.int64), len(grid) - 2)
+    return low, at - low
+
+
+def _totals(rows: DataFrame, made) -> np.ndarray:
+    """What ``made`` makes of the descriptions and labels of each batch, as an array of a fixed size, added up in every task; one row a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for b in batches:
+            if b.num_rows:
+                x, y = b.column(1).flatten().to_numpy().reshape(-1, FEATURES), b.column(0).to_numpy()
+                part = made(x, y)
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["v"])
+
+    got = [r["v"] for r in rows.select("y", "x").mapInArrow(run, "v array<double>").collect()]
+    return np.sum(np.array(got), 0) if got else np.zeros(0)
+
+
+def bradley_terry(rows: DataFrame) -> Ranking:
+    """Learn from all rows (y: 0 or 1, x: a description), each good one paired with each bad one.
+
+    The loss of all pairs needs no row for a pair: what a row adds follows from its score and from how many rows of the other class have which
+    score. Each step of Newton's method counts these, then adds up the rows.
+    """
+    one = _totals(rows, lambda x, y: np.concatenate([[len(y), y.sum()], x.sum(0)]))
+    n, good = (int(v) for v in one[:2]) if len(one) else (0, 0)
+    model = Ranking(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(2 * FEATURES), 0.0, 1.0)
+    if not 0 < good < n:
+        return model
+    mean, bad, width = one[2:] / n, n - good, 2 * FEATURES
+    spread = np.sqrt(_totals(rows, lambda x, y: ((x - mean) ** 2).sum(0)) / n)
+    model = Ranking(mean, np.maximum(spread, 1e-6), model.weights, 0.0, 1.0)
+    expit = lambda v: 1 / (1 + np.exp(-np.clip(v, -30, 30)))
     for _ in range(25):  # Newton's method with a ridge
-        p = 1 / (1 + np.exp(np.clip(lead @ weights, -30, 30)))
-        gradient = lead.T @ p / pairs - 1e-3 * weights
-        hessian = (lead * (p * (1 - p))[:, None]).T @ lead / pairs + 1e-3 * np.eye(len(weights))
-        step = np.linalg.solve(hessian, gradient)
-        weights = weights + step
-        if np.abs(step).max() < 1e-6:
+
+        def spread_out(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            z = model.design(x)
+            s, counts, sums = z @ model.weights, [], []
+            for k in (0, 1):
+                low, share = _parts(s[y == k], _FINE)
+                counts.append(np.bincount(low, 1 - share, len(_FINE)) + np.bincount(low + 1, share, len(_FINE)))
+                low, share = _parts(s[y == k], _COARSE)
+                total = np.zeros((len(_COARSE), width))
+                np.add.at(total, low, (1 - share)[:, None] * z[y == k])
+                np.add.at(total, low + 1, share[:, None] * z[y == k])
+                sums.append(total.ravel())
+            return np.concatenate(counts + sums)
+
+        found = _totals(rows, spread_out)
+        counts, sums = found[: 2 * len(_FINE)].reshape(2, -1), found[2 * len(_FINE) :].reshape(2, len(_COARSE), width)
+        behind = expit(_FINE[None, :] - _FINE[:, None])  # a good text at the row's score, a bad one at the column's: the chance that the bad one wins
+        curve = behind * (1 - behind)
+        pull = np.stack([behind.T @ counts[1], behind @ counts[0]]) / good / bad  # of a bad and of a good row
+        bend = np.stack([curve.T @ counts[1], curve @ counts[0]]) / good / bad
+
+        def added(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            z = model.design(x)
+            low, share = _parts(z @ model.weights, _FINE)
+            p, q = ((1 - share) * v[y, low] + share * v[y, low + 1] for v in (pull, bend))
+            return np.concatenate([z.T @ (p * (2 * y - 1)), ((z * q[:, None]).T @ z).ravel()])
+
+        found = _totals(rows, added)
+        chance = expit(_COARSE[None, :] - _COARSE[:, None])
+        cross = sums[1].T @ (chance * (1 - chance)) @ sums[0] / good / bad
+        hessian = found[width:].reshape(width, width) - cross - cross.T + 1e-3 * np.eye(width)
+        step = np.linalg.solve(hessian, found[:width] - 1e-3 * model.weights)
+        model = Ranking(model.mean, model.spread, model.weights + step, 0.0, 1.0)
+        if np.abs(step).max() < 1e-4:
             break
-    model.weights = weights
-    s = z @ weights
-    # the quantile of the training scores that parts the classes with the fewest errors, each class counting as a half
-    grid = np.quantile(s, np.linspace(0.005, 0.995, 199))
-    low, high = np.sort(s[bad]), np.sort(s[good])
-    wrong = (1 - np.searchsorted(low, grid) / len(low)) + np.searchsorted(high, grid) / len(high)
+
+    def extent(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        s = model.rank(x)
+        return np.array([s.sum(), (s**2).sum()])
+
+    middle, square = _totals(rows, extent) / n
+    deviation = max(math.sqrt(max(square - middle**2, 0)), 1e-6)
+    edges = middle + deviation * np.linspace(-10, 10, BINS + 1)[:-1]  # what lies beyond counts at the ends
+
+    def binned(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(edges, model.rank(x), side="right")
+        return np.bincount(y * (BINS + 1) + at, minlength=2 * (BINS + 1)).astype(np.float64)
+
+    # the score that parts the classes with the fewest errors, each class counting as a half, among those from the 0.5th to the 99.5th percentile
+    below = np.cumsum(_totals(rows, binned).reshape(2, -1), 1)[:, :-1]
+    wrong = (1 - below[0] / bad) + below[1] / good
+    inside = (below.sum(0) >= 0.005 * n) & (below.sum(0) <= 0.995 * n)
+    wrong = np.where(inside, wrong, np.inf) if inside.any() else wrong
     best = np.flatnonzero(wrong <= wrong.min() + 1e-12)
-    model.threshold = float(grid[best[len(best) // 2]])
-    model.scale = 4.0 / max(float(np.std(s)), 1e-6)
+    model.threshold, model.scale = float(edges[best[len(best) // 2]]), 4.0 / deviation
     return model
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> Ranking:
-    """A ranking from labelled rows (doc_id, label); the caller leaves out what must not be learned from."""
+def learn(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Ranking:
+    """A ranking from all labelled rows (doc_id, label); the caller leaves out what must not be learned from."""
     K.prepare(docs.sparkSession)
-    chosen = labelled_sample(labels, label, per_class)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = describe(b.column(2))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.int32()), pa.array(list(x), pa.list_(pa.float64()))], names=["i", "y", "x"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(describe(b.column(1))), pa.list_(pa.float64()))], names=["doc_id", "x"])
 
-    sample = rows.mapInArrow(run, "i long, y int, x array<double>").toPandas().sort_values(["i", "y"])  # FEATURES numbers for each row of the sample
-    if not len(sample):
-        return bradley_terry(np.zeros((0, FEATURES)), np.zeros(0))
-    return bradley_terry(np.stack(sample["x"].to_numpy()), sample["y"].to_numpy())
+    # described before the join: FEATURES numbers a text are joined, not the texts
+    described = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").mapInArrow(run, "doc_id long, x array<double>")
+    scratch = Scratch(docs.sparkSession)
+    model = bradley_terry(scratch.stored(described.join(labelled(labels, label), "doc_id").select(F.col("label").cast("long").alias("y"), "x")))
+    scratch.drop()
+    return model
 
 
 def without_low_quality(docs: DataFrame, model: Ranking, threshold: float = 0.5) -> DataFrame:

@@ -423,3 +423,23 @@ def test_media_equals_plain_sums(spark, docs):
     tiles = {r["doc_id"]: r for r in media.media_tiles(docs(rows), 8, 9).collect()}
     assert all(hashlib.sha256(bytes(tiles[i]["tile"])).hexdigest() == got[i]["tile_sha256"] and hashlib.sha256(bytes(tiles[i]["media"])).hexdigest() == got[i]["media_sha256"] for i in got)
     assert media.media_digests(docs([])).count() == 0
+
+
+def test_quality_learns_from_every_pair(spark, docs):
+    """The weights are those of a plain Newton's method over all pairs of a good and a bad row."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["stone", "RIVER!!", "cloud,", "a#b", "x1"][: 3 + i % 3]) for _ in range(20 + i % 17)), None) for i in range(120)]
+    marks = {i: int((i % 3 == 0) != (rng.random() < 0.2)) for i, *_ in rows}
+    model = quality.learn(docs(rows), spark.createDataFrame(list(marks.items()), "doc_id long, quality int"))
+    x = quality.describe(pa.array([t for _, t, _ in rows]))
+    y = np.array([marks[i] for i, *_ in rows])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.spread, np.maximum(x.std(0), 1e-6))
+    z = model.design(x)
+    lead, w = (z[y == 1][:, None] - z[y == 0][None]).reshape(-1, z.shape[1]), np.zeros(z.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(lead @ w))
+        w = w + np.linalg.solve((lead * (p * (1 - p))[:, None]).T @ lead / len(lead) + 1e-3 * np.eye(len(w)), lead.T @ p / len(lead) - 1e-3 * w)
+    assert np.abs(model.weights - w).max() < 0.02
+    s = z @ model.weights
+    errors = lambda t: np.mean(s[y == 0] >= t) + np.mean(s[y == 1] < t)
+    assert errors(model.threshold) <= min(map(errors, np.quantile(s, np.linspace(0.005, 0.995, 199)))) + 0.02
