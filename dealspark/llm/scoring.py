@@ -36,12 +36,6 @@ def score_column(docs: DataFrame, model) -> Column:
     return score(docs["text"])
 
 
-def labelled_sample(labels: DataFrame, label: str, per_class: int) -> DataFrame:
-    """At most ``per_class`` labelled ids of each class (0 and 1), in the order of a hash of doc_id."""
-    parts = [labels.where(F.col(label) == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
-    return parts[0].union(parts[1]).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).alias("label"))
-
-
 def labelled(labels: DataFrame, label: str) -> DataFrame:
     """doc_id and label of all rows of the two classes (0 and 1)."""
     return labels.where(F.col(label).isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).alias("label"))

@@ -9,7 +9,7 @@ likeliest reading is longer than every word that the model knows, or spends more
 of the longest one. The restored words and all plain words are then scored by learned log-odds of words and word
 beginnings; a text's score is the calibrated log-odds of its most telling word.
 
-Learning uses labelled rows only, at most ``PER_CLASS`` of each class, taken in the order of a hash of doc_id. It
+Learning uses all labelled rows. It
 learns spaced-out words of at most ``SPACED`` letters; plain words have no such bound.
 
 Defined cases: null, empty and letterless texts have the score of a text without any telling
@@ -30,11 +30,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealspark.llm import kernels as K
-from dealspark.llm.scoring import labelled_sample, score_column, scored
-from dealspark.session import table
+from dealspark.llm.scoring import labelled, score_column, scored
+from dealspark.session import Scratch, table
 
-#: Most labelled rows of one class that are learned from.
-PER_CLASS = 12_000
 #: Most words and beginnings in a model.
 FEATURES = 16_384
 #: Texts of the toxic class that must hold a feature.
@@ -300,12 +298,13 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.highest(texts) + self.offset, -30, 30)))
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> Model:
-    """A model from labelled rows (doc_id, label); the caller leaves out what must not be learned from."""
+def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
+    """A model from all labelled rows (doc_id, label); the caller leaves out what must not be learned from."""
     spark = docs.sparkSession
     K.prepare(spark)
-    chosen = labelled_sample(labels, label, per_class)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("label", "text", F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half"))
+    scratch = Scratch(spark)  # read three times
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(labelled(labels, label), "doc_id")
+    rows = scratch.stored(rows.select("label", "text", F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half")))
 
     def letters_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(27**3, np.int64)
@@ -357,6 +356,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
     both = odds(F.col("t0") + F.col("t1"), F.col("c0") + F.col("c1"), n[1, 0] + n[1, 1], n[0, 0] + n[0, 1])
     top = seen.where(F.col("t0") + F.col("t1") >= SUPPORT).withColumn("w", both).where("w > 0").orderBy(F.desc("w"), "f").limit(FEATURES).collect()
     if not size or not {1, 0} <= {c for c, _ in size}:
+        scratch.drop()
         return Model(np.zeros(0, np.uint64), np.zeros(0), counts, 0.0, -30.0)
     hashes = np.array([r["f"] for r in top], np.int64).view(np.uint64)
     longest = max([_BEGINNINGS[-1] + 1, *(r["size"] for r in top)])  # a beginning belongs to a longer word
@@ -373,14 +373,15 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
             high = np.where(halves == 0, shared.value[0].highest(b.column(1)), shared.value[1].highest(b.column(1)))
             yield pa.RecordBatch.from_arrays([pa.array(high), b.column(0).cast(pa.int32())], names=["x", "y"])
 
-    pairs = rows.mapInArrow(held, "x double, y int").toPandas()  # two numbers for each row of the sample
-    slope, offset = _calibrate(pairs["x"].to_numpy(), pairs["y"].to_numpy(np.float64))
+    found = rows.mapInArrow(held, "x double, y int").groupBy("x", "y").count().toPandas().sort_values(["x", "y"])  # a row for each weight of the two models and class
+    slope, offset = _calibrate(found["x"].to_numpy(), found["y"].to_numpy(np.float64), found["count"].to_numpy(np.float64))
+    scratch.drop()
     return Model(hashes, np.array([r["w"] for r in top]), counts, slope, offset, longest)
 
 
-def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic regression on one number by Newton's method; clean rows count twice, as most texts are clean."""
-    weight = np.where(y == 1, 1, 2) / max(1, len(y))
+def _calibrate(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+    """Logistic regression on one number, which n rows have, by Newton's method; clean rows count twice, as most texts are clean."""
+    weight = n * np.where(y == 1, 1, 2) / max(1, n.sum())
     design, beta = np.stack([x, np.ones_like(x)], 1), np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))

@@ -443,3 +443,18 @@ def test_quality_learns_from_every_pair(spark, docs):
     s = z @ model.weights
     errors = lambda t: np.mean(s[y == 0] >= t) + np.mean(s[y == 1] < t)
     assert errors(model.threshold) <= min(map(errors, np.quantile(s, np.linspace(0.005, 0.995, 199)))) + 0.02
+
+
+def test_toxicity_learns_from_all_rows(spark, docs, monkeypatch):
+    """Every labelled row is counted, and the calibration gets a row for each weight, not for each text."""
+    found, calibrate = [], toxicity._calibrate
+    monkeypatch.setattr(toxicity, "_calibrate", lambda *a: found.append(a) or calibrate(*a))
+    toxic, n = _toy(240, "idiot"), 12_600
+    labels = spark.createDataFrame([(i, bad) for i, _, bad in toxic] + [(1000 + i, 0) for i in range(n)], "doc_id long, toxic int")
+    model = toxicity.learn(docs([(i, t, "en") for i, t, _ in toxic] + [(1000 + i, "stone qqq", "en") for i in range(n)]), labels)
+    clean = n + sum(not bad for *_, bad in toxic)
+    x, y, count = found[0]
+    assert count[y == 0].sum() == clean and count.sum() == n + 240 and len(x) < 300
+    q = 16
+    assert model.counts[q * 729 + q * 27 + q] == n
+    assert np.allclose(calibrate(x, y, count), calibrate(np.repeat(x, count.astype(int)), np.repeat(y, count.astype(int)), np.ones(int(count.sum()))))
