@@ -133,6 +133,8 @@ class Ranking:
 _FINE, _COARSE = np.linspace(-64, 64, 1025), np.linspace(-64, 64, 257)
 #: Bins of the scores that may become the threshold.
 BINS = 8192
+#: Weight of the ridge, most passes over the rows for steps, and by how much a step may raise the loss, which is interpolated.
+RIDGE, STEPS, SLACK = 1e-3, 50, 1.001
 
 
 def _parts(s: np.ndarray, grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +176,12 @@ def bradley_terry(rows: DataFrame) -> Ranking:
     spread = np.sqrt(_totals(rows, lambda x, y: ((x - mean) ** 2).sum(0)) / n)
     model = Ranking(mean, np.maximum(spread, 1e-6), model.weights, 0.0, 1.0)
     expit = lambda v: 1 / (1 + np.exp(-np.clip(v, -30, 30)))
-    for _ in range(25):  # Newton's method with a ridge
+    apart = _FINE[None, :] - _FINE[:, None]  # a good text at the row's score, a bad one at the column's
+    cost, behind = np.logaddexp(0, apart), expit(apart)  # the loss of the two, and the chance that the bad one wins
+    chance = expit(_COARSE[None, :] - _COARSE[:, None])
+    curve = chance * (1 - chance)
+    taken, step, lowest = model.weights, np.full(width, math.inf), math.inf
+    for _ in range(STEPS):  # Newton's method with a ridge; a step that raises the loss is halved
 
         def spread_out(x: np.ndarray, y: np.ndarray) -> np.ndarray:
             z = model.design(x)
@@ -183,33 +190,40 @@ def bradley_terry(rows: DataFrame) -> Ranking:
                 low, share = _parts(s[y == k], _FINE)
                 counts.append(np.bincount(low, 1 - share, len(_FINE)) + np.bincount(low + 1, share, len(_FINE)))
                 low, share = _parts(s[y == k], _COARSE)
-                total = np.zeros((len(_COARSE), width))
-                np.add.at(total, low, (1 - share)[:, None] * z[y == k])
-                np.add.at(total, low + 1, share[:, None] * z[y == k])
+                own = np.append(z[y == k], np.ones((len(low), 1)), 1)
+                total = np.zeros((len(_COARSE), width + 1))
+                np.add.at(total, low, (1 - share)[:, None] * own)
+                np.add.at(total, low + 1, share[:, None] * own)
                 sums.append(total.ravel())
             return np.concatenate(counts + sums)
 
         found = _totals(rows, spread_out)
-        counts, sums = found[: 2 * len(_FINE)].reshape(2, -1), found[2 * len(_FINE) :].reshape(2, len(_COARSE), width)
-        behind = expit(_FINE[None, :] - _FINE[:, None])  # a good text at the row's score, a bad one at the column's: the chance that the bad one wins
-        curve = behind * (1 - behind)
+        counts, sums = found[: 2 * len(_FINE)].reshape(2, -1), found[2 * len(_FINE) :].reshape(2, len(_COARSE), width + 1)
+        loss = counts[1] @ cost @ counts[0] / good / bad + RIDGE / 2 * model.weights @ model.weights
+        if loss > SLACK * lowest:
+            step = step / 2
+            model = Ranking(model.mean, model.spread, taken + step, 0.0, 1.0)
+            continue
+        taken, lowest = model.weights, min(loss, lowest)
+        if np.abs(step).max() < 1e-4:
+            break
         pull = np.stack([behind.T @ counts[1], behind @ counts[0]]) / good / bad  # of a bad and of a good row
-        bend = np.stack([curve.T @ counts[1], curve @ counts[0]]) / good / bad
+        bend = np.stack([curve.T @ sums[1][:, width], curve @ sums[0][:, width]]) / good / bad
 
         def added(x: np.ndarray, y: np.ndarray) -> np.ndarray:
             z = model.design(x)
-            low, share = _parts(z @ model.weights, _FINE)
-            p, q = ((1 - share) * v[y, low] + share * v[y, low + 1] for v in (pull, bend))
+            s = z @ model.weights
+            parts = ((pull, *_parts(s, _FINE)), (bend, *_parts(s, _COARSE)))
+            p, q = ((1 - share) * v[y, low] + share * v[y, low + 1] for v, low, share in parts)
             return np.concatenate([z.T @ (p * (2 * y - 1)), ((z * q[:, None]).T @ z).ravel()])
 
         found = _totals(rows, added)
-        chance = expit(_COARSE[None, :] - _COARSE[:, None])
-        cross = sums[1].T @ (chance * (1 - chance)) @ sums[0] / good / bad
-        hessian = found[width:].reshape(width, width) - cross - cross.T + 1e-3 * np.eye(width)
-        step = np.linalg.solve(hessian, found[:width] - 1e-3 * model.weights)
-        model = Ranking(model.mean, model.spread, model.weights + step, 0.0, 1.0)
-        if np.abs(step).max() < 1e-4:
-            break
+        # rows and pairs are taken from the same counts, so that the curvature is that of some set of pairs and never negative
+        cross = sums[1][:, :width].T @ curve @ sums[0][:, :width] / good / bad
+        hessian = found[width:].reshape(width, width) - cross - cross.T + RIDGE * np.eye(width)
+        step = np.linalg.solve(hessian, found[:width] - RIDGE * model.weights)
+        model = Ranking(model.mean, model.spread, taken + step, 0.0, 1.0)
+    model.weights = taken
 
     def extent(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         s = model.rank(x)

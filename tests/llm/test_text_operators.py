@@ -458,3 +458,15 @@ def test_toxicity_learns_from_all_rows(spark, docs, monkeypatch):
     q = 16
     assert model.counts[q * 729 + q * 27 + q] == n
     assert np.allclose(calibrate(x, y, count), calibrate(np.repeat(x, count.astype(int)), np.repeat(y, count.astype(int)), np.ones(int(count.sum()))))
+
+
+def test_quality_steps_do_not_run_away(spark):
+    """Two tight groups: the curvature stays that of pairs, and the steps lower the loss; they went to weights of 40 and more, with a third of the rows misplaced."""
+    rng = np.random.default_rng(1)
+    y = (np.arange(100) % 3 > 0).astype(int)
+    x = y[:, None] + rng.normal(0, 0.1, (100, quality.FEATURES))
+    rows = spark.createDataFrame([(int(k), v.tolist()) for k, v in zip(y, x, strict=True)], "y long, x array<double>")
+    model = quality.bradley_terry(rows.coalesce(1))
+    assert ((model.rank(x) >= model.threshold) == y).all() and np.abs(model.weights).max() < 1
+    same = quality.bradley_terry(rows.coalesce(1).select("y", F.array_repeat(F.lit(1.0), quality.FEATURES).alias("x")))
+    assert not same.weights.any()
