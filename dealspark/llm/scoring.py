@@ -39,3 +39,29 @@ def score_column(docs: DataFrame, model) -> Column:
 def labelled(labels: DataFrame, label: str) -> DataFrame:
     """doc_id and label of all rows of the two classes (0 and 1)."""
     return labels.where(F.col(label).isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).alias("label"))
+
+
+#: Cells of the sieve for each label, and most words of 64 cells, which are broadcast; beyond 4 million labels it lets more rows through.
+CELLS, WORDS = 16, 1 << 20
+
+
+def _cell(words: int) -> tuple[Column, Column]:
+    """The word of a doc_id in the sieve, and its bit there."""
+    h = F.xxhash64("doc_id")
+    return F.pmod(h, F.lit(words)), F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 58).cast("int"))
+
+
+def sieved(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id (long) may be among the labelled ones: all that are, and a few that are not."""
+    words = min(WORDS, max(1, labels.count() * CELLS // 64))
+    word, bit = _cell(words)
+    sieve = labels.where("doc_id is not null").groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    # long rows meet a table of a bounded size before they are shuffled
+    return docs.withColumn("word", word).join(F.broadcast(sieve), "word").where(F.col("bits").bitwiseAND(bit) != 0).drop("word", "bits")
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """doc_id, text, label of the labelled rows. The texts are shuffled, but only theirs, and for tables of any size alike."""
+    marks = labelled(labels, label)
+    texts = sieved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), marks)
+    return texts.join(marks.hint("shuffle_hash"), "doc_id")

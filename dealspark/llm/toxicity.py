@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealspark.llm import kernels as K
-from dealspark.llm.scoring import labelled, score_column, scored
+from dealspark.llm.scoring import labelled_texts, score_column, scored
 from dealspark.session import Scratch, table
 
 #: Most words and beginnings in a model.
@@ -303,8 +303,9 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     spark = docs.sparkSession
     K.prepare(spark)
     scratch = Scratch(spark)  # read three times
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(labelled(labels, label), "doc_id")
+    rows = labelled_texts(docs, labels, label)
     rows = scratch.stored(rows.select("label", "text", F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half")))
+    K.release(spark)  # the texts' shuffle, before that of the features
 
     def letters_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(27**3, np.int64)

@@ -14,7 +14,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from dealspark.llm import bpe, kernels, language, lattice, media, packing, quality, toxicity
+from dealspark.llm import bpe, kernels, language, lattice, media, packing, quality, scoring, toxicity
 from tests.llm.conftest import ODD
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -470,3 +470,23 @@ def test_quality_steps_do_not_run_away(spark):
     assert ((model.rank(x) >= model.threshold) == y).all() and np.abs(model.weights).max() < 1
     same = quality.bradley_terry(rows.coalesce(1).select("y", F.array_repeat(F.lit(1.0), quality.FEATURES).alias("x")))
     assert not same.weights.any()
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_toxicity_shuffles_labelled_texts_only(spark, docs, monkeypatch, broadcast):
+    """The plan is the same for small and large labels, and other texts stay out of the shuffle."""
+    found, stored = [], toxicity.Scratch.stored
+    monkeypatch.setattr(toxicity.Scratch, "stored", lambda self, df: found.append(df) or stored(self, df))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        table = docs([(i, f"stone {i}", "en") for i in range(3000)] + [(7, "again", "en"), (None, "none", "en")])
+        labels = spark.createDataFrame([(i, i // 10 % 2) for i in range(0, 3000, 10)] + [(7, 0), (7, 1), (8, None), (None, 1)], "doc_id long, toxic int")
+        toxicity.learn(table, labels)
+        plan = found[0]._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and plan.count("BroadcastHashJoin") == 1
+        got = [tuple(r) for r in found[0].select("text", "label").collect()]
+        assert sorted(got) == sorted([(f"stone {i}", i // 10 % 2) for i in range(0, 3000, 10)] + [(t, k) for t in ("stone 7", "again") for k in (0, 1)])
+        assert 302 <= scoring.sieved(table.select("doc_id", "text"), scoring.labelled(labels, "toxic")).count() < 600
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
