@@ -10,15 +10,16 @@ from dealspark.functions import vocab as V
 from dealspark.functions.signals import clean, matches, or_else, split_parties, words_pattern
 
 _ALNUM, _OPEN, _CLOSE, _STOP = "A-Za-z0-9", "（【《", "）】》", "，。；：？！、）】》"
-#: A blank that doesn't belong where it stands. Runs of white space are one blank by then, so one pass finds all.
+#: A blank that doesn't belong where it stands. Runs of white space are one blank by then, so one pass finds all. The patterns here begin with
+#: the sign they look for and look behind it afterwards, so that nothing is looked up at the places between.
 STRAY_BLANK = (
-    f"(?<=[{V.CJK}]) (?=[{V.CJK}{_ALNUM}])|(?<=[{_ALNUM}]) (?=[{V.CJK}])| (?=[{_STOP}])|(?<=[{_OPEN}]) |(?<=[{_CLOSE}]) (?=[{V.CJK}{_ALNUM}])"
-    f"|(?<=[{V.CJK}{_ALNUM}]) (?=[{_OPEN}])|(?<=[0-9]) (?=[%％])"
+    f" (?:(?<=[{V.CJK}] )(?=[{V.CJK}{_ALNUM}])|(?<=[{_ALNUM}] )(?=[{V.CJK}])|(?=[{_STOP}])|(?<=[{_OPEN}] )|(?<=[{_CLOSE}] )(?=[{V.CJK}{_ALNUM}])"
+    f"|(?<=[{V.CJK}{_ALNUM}] )(?=[{_OPEN}])|(?<=[0-9] )(?=[%％]))"
 )
 _UNITS = words_pattern(V.QUANTITY_UNITS)
 #: A whole number of four digits or more before a unit, and the places in it where commas go.
 BARE_QUANTITY = rf"(?<![0-9.,])[0-9]{{4,}}(?![0-9.,])(?=\s*(?:{_UNITS}))"
-_COMMA_PLACE = rf"(?<=(?<![0-9.,])[1-9][0-9]{{0,40}})(?=(?:[0-9]{{3}})+(?![0-9.,])\s*(?:{_UNITS}))"
+_COMMA_PLACE = rf"(?=(?:[0-9]{{3}})+(?![0-9.,])\s*(?:{_UNITS}))(?<=(?<![0-9.,])[1-9][0-9]{{0,40}})"
 NOTE = "（下称“[^”]+”(?:，[^）]+)?）"
 _FORMS = "(?:科技有限公司|股份有限公司|有限责任公司|娱乐集团|有限公司|集团|公司)"
 _WORD = rf"[{V.CJK}A-Za-z0-9·&]"
@@ -37,13 +38,17 @@ def fullwidth(text: Column) -> Column:
     """Full-width punctuation beside Chinese characters; commas inside numbers stay."""
     for old, new in (("“ ", "“"), (" ”", "”"), ("‘ ", "‘"), (" ’", "’")):
         text = F.replace(text, F.lit(old), F.lit(new))
-    text = F.regexp_replace(text, rf"(?<=[{V.CJK}%％）】]),(?![0-9])", "，")
-    text = F.regexp_replace(text, rf"(?<![0-9]),(?=[{V.CJK}])", "，")
-    for half, full in ((";", "；"), (":", "："), (r"\?", "？"), ("!", "！")):
-        text = F.regexp_replace(text, rf"(?<=[{V.CJK}0-9%％）】]){half}|{half}(?=[{V.CJK}])", full)
-    for half, full, before in ((r"\(", "（", True), (r"\)", "）", False), (r"\[", "【", True), (r"\]", "】", False)):
-        text = F.regexp_replace(text, rf"(?<=[{V.CJK}]){half}" if before else rf"{half}(?=[{V.CJK}])", full)
-    return F.replace(F.replace(text, F.lit(" ,"), F.lit("，")), F.lit(" ;"), F.lit("；"))
+
+    def signs(text: Column) -> Column:
+        text = F.regexp_replace(text, rf",(?<=[{V.CJK}%％）】],)(?![0-9])", "，")
+        text = F.regexp_replace(text, rf",(?<![0-9],)(?=[{V.CJK}])", "，")
+        for half, full in ((";", "；"), (":", "："), (r"\?", "？"), ("!", "！")):
+            text = F.regexp_replace(text, rf"{half}(?:(?<=[{V.CJK}0-9%％）】]{half})|(?=[{V.CJK}]))", full)
+        for half, full, before in ((r"\(", "（", True), (r"\)", "）", False), (r"\[", "【", True), (r"\]", "】", False)):
+            text = F.regexp_replace(text, rf"{half}(?<=[{V.CJK}]{half})" if before else rf"{half}(?=[{V.CJK}])", full)
+        return F.replace(F.replace(text, F.lit(" ,"), F.lit("，")), F.lit(" ;"), F.lit("；"))
+
+    return T.bound(text, lambda t: F.when(F.rlike(t, F.lit(r"[,;:?!()\[\]]")), signs(t)).otherwise(t))  # without a half-width sign there is nothing to do
 
 
 def format_thousands(text: Column) -> Column:

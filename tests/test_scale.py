@@ -10,7 +10,8 @@ from dealspark.functions import cjk as C
 from dealspark.functions import pages as P
 from dealspark.functions import signals as S
 from dealspark.functions import text as T
-from dealspark.operators import answers, identity, joins, reconcile, selection
+from dealspark.functions import vocab as V
+from dealspark.operators import answers, facts, identity, joins, reconcile, selection
 from dealspark.plans import records, reports
 from dealspark.plans.filings import filings
 
@@ -144,3 +145,45 @@ def test_history_is_not_compared_with_itself(spark, monkeypatch):
     assert {r["id"]: r["seen"] for r in got} == {1: True, 2: True, 3: False, 4: True, 5: False, 6: False}
     assert made[-1][0].columns == ["left", "right"] and made[-1][0].count() == 60 + 59 + 1
     assert not [p for _, p in made if "BroadcastHashJoin" in p]
+
+
+def test_hints_are_searched_in_batches(spark):
+    """The best sentence is that of a plain search, and no plan holds an expression for each word and sentence."""
+    rng = random.Random(7)
+    words = ["转让", "Seller ", "受让", "12.5亿元", "8.35元/股", "释义", "收购", "  ", " ", "现金", "3", "甲", "在本报告书中", "1,200 Million", "作价"]
+    rows = [(i, None if i == 0 else ["".join(rng.choices(words, k=rng.randint(0, 9))) for _ in range(rng.randint(0, 12))] + [None]) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, s array<string>")
+
+    def points(s, hints):
+        has = lambda listed: any(w in s for w in listed)
+        found = sum(h.lower() in s.lower() for h in hints)
+        return found and (found * 4 + 3 * has(V.SENTENCE_UNITS) + 8 * has(V.SENTENCE_PRICES) + 2 * has(V.SENTENCE_DEALS) - 8 * has(V.SENTENCE_NOISE), s)
+
+    stated = df.withColumn("s", F.filter("s", lambda x: S.has_quantity(x) & ~S.is_noisy_value(x)))
+    plain = {r["id"]: r["s"] for r in stated.collect()}
+    for own, hints, numbered, fits in ((dict(rows), V.SELLER_HINTS, False, None), (dict(rows), V.BUYER_HINTS, True, None), (plain, V.VALUE_HINTS, True, facts.states_value)):
+        got = {r["id"]: r["x"] for r in df.select("id", facts.best_hint(F.col("s"), hints, numbered, fits).alias("x")).collect()}
+        for i, sentences in own.items():
+            scored = [p for s in sentences or [] if s and (not numbered or re.search("[0-9]", s)) and (p := points(s, hints))]
+            assert got[i] == (max(scored, key=lambda p: p[0])[1] if scored else "")
+    spark.conf.set("spark.sql.maxPlanStringLength", 10_000_000)
+    schema = "case_id int, place int, title string, source_name string, url string, summary string, numeric_facts string, extracted_text string"
+    case = spark.createDataFrame([], "id int, case_name string, category string, acquirer string, target string, deal_value string, deal_status string, buyer_motive string, seller_motive string, why string, title string, highlights string")
+    assert plan(facts.fact_packs(case, spark.createDataFrame([], schema))).count("Contains(lower") < 10
+
+
+def test_normal_form_by_patterns_that_begin_with_their_sign(spark):
+    """Equal to rules that look behind at every place first."""
+    K, X = V.CJK, "A-Za-z0-9"
+    blanks = f"(?<=[{K}]) (?=[{K}{X}])|(?<=[{X}]) (?=[{K}])| (?=[，。；：？！、）】》])|(?<=[（【《]) |(?<=[）】》]) (?=[{K}{X}])|(?<=[{K}{X}]) (?=[（【《])|(?<=[0-9]) (?=[%％])"
+    rules = [(blanks, "")] + [(f"{a} ", a) for a in "“‘"] + [(f" {a}", a) for a in "”’"] + [(rf"(?<=[{K}%％）】]),(?![0-9])", "，"), (rf"(?<![0-9]),(?=[{K}])", "，")]
+    rules += [(rf"(?<=[{K}0-9%％）】]){h}|{h}(?=[{K}])", f) for h, f in ((";", "；"), (":", "："), (r"\?", "？"), ("!", "！"))]
+    rules += [(rf"(?<=[{K}])\(", "（"), (rf"\)(?=[{K}])", "）"), (rf"(?<=[{K}])\[", "【"), (rf"\](?=[{K}])", "】"), (" ,", "，"), (" ;", "；")]
+    rules += [(rf"(?<=(?<![0-9.,])[1-9][0-9]{{0,40}})(?=(?:[0-9]{{3}})+(?![0-9.,])\s*(?:{S.words_pattern(V.QUANTITY_UNITS)}))", ",")]
+    rng = random.Random(9)
+    texts = ["".join(rng.choices("甲乙元万aB 0123456789  ,,;:?!()[]（）【】《》，。%％“”‘’.", k=rng.randint(0, 40))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None, "共1234567 元", "12345678901234567890股"]], "t string")
+    plain = S.clean(F.col("t"))
+    for old, new in rules:
+        plain = F.regexp_replace(plain, old, new)
+    assert df.select(C.normalize(F.col("t")).alias("x"), plain.alias("y")).where("not x <=> y").count() == 0
