@@ -17,6 +17,7 @@ from dealspark.functions import cjk as C
 from dealspark.functions import signals as S
 from dealspark.functions import text as T
 from dealspark.functions import vocab as V
+from dealspark.functions.terms import BLANKS
 from dealspark.session import ship_package, small_batches, task_count
 
 _PARTS = ("numeric_facts", "summary", "extracted_text")
@@ -60,7 +61,7 @@ def candidate_sentences(text: Column, limit: int = 120) -> Column:
     return F.transform(F.slice(F.array_distinct(tidy), 1, limit), lambda x: F.substring(x, 1, 320))
 
 
-_DIGIT, _BLANKS = re.compile("[0-9]"), re.compile("[\\s\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+", re.ASCII)
+_DIGIT, _BLANKS = re.compile("[0-9]"), re.compile(f"[{BLANKS}]+")
 _QUANTITY = re.compile(V.TRANSACTION_QUANTITY, re.ASCII)
 
 

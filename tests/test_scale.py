@@ -10,8 +10,9 @@ from dealspark.functions import cjk as C
 from dealspark.functions import pages as P
 from dealspark.functions import signals as S
 from dealspark.functions import text as T
+from dealspark.functions import terms
 from dealspark.functions import vocab as V
-from dealspark.operators import answers, facts, identity, joins, reconcile, selection
+from dealspark.operators import answers, articles, expectations, facts, identity, joins, reconcile, selection
 from dealspark.plans import records, reports
 from dealspark.plans.filings import filings
 
@@ -187,3 +188,23 @@ def test_normal_form_by_patterns_that_begin_with_their_sign(spark):
     for old, new in rules:
         plain = F.regexp_replace(plain, old, new)
     assert df.select(C.normalize(F.col("t")).alias("x"), plain.alias("y")).where("not x <=> y").count() == 0
+
+
+def test_words_of_many_groups_are_counted_in_batches(spark):
+    """Sizes, digits and counts are those of the expressions, for words that hold or overlap each other and for every kind of white space."""
+    rng = random.Random(11)
+    groups = {"a": ("估值", "估值锚", "值锚定", "may ", "ab"), "b": ("锚定", "aba", "估值", "ba"), "c": ("𠮷野", "12", "。。")}
+    texts = ["".join(rng.choices(["估值", "锚", "定", "may", " ", "a", "b", "𠮷", "野", "1", "2", "。", terms.BLANKS[rng.randrange(len(terms.BLANKS))]], k=rng.randint(0, 30))) for _ in range(1500)]
+    df = spark.createDataFrame([(t,) for t in [*texts, "", None, "估", "".join(map(chr, range(1, 0xD800)))]], "t string")
+    text = F.coalesce("t", F.lit(""))
+    plain = F.struct(articles.size(F.col("t")).alias("size"), F.length(F.regexp_replace(text, "[^0-9]", "")).alias("digits"), *[T.count_terms(text, g).alias(n) for n, g in groups.items()])
+    assert df.select(terms.measured(F.col("t"), groups).alias("x"), plain.alias("y")).where("x <> y or x is null").count() == 0
+    assert df.select(terms.measured(F.col("t"))["size"].alias("x"), articles.size(F.col("t")).alias("y")).where("x <> y").count() == 0
+
+
+@pytest.mark.parametrize("rules", [articles.article_rules, articles.quality_rules])
+def test_rules_of_articles_search_no_word_by_word(spark, rules):
+    """Words of whole texts are looked up at once, so that a plan holds few searches for single words."""
+    spark.conf.set("spark.sql.maxPlanStringLength", 10_000_000)
+    read = articles.with_parts(spark.createDataFrame([], articles.ARTICLE))
+    assert plan(read.select(expectations.issues(rules()).alias("x"))).count("Contains(") < 50
