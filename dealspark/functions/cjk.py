@@ -18,7 +18,7 @@ STRAY_BLANK = (
 )
 _UNITS = words_pattern(V.QUANTITY_UNITS)
 #: A whole number of four digits or more before a unit, and the places in it where commas go.
-BARE_QUANTITY = rf"(?<![0-9.,])[0-9]{{4,}}(?![0-9.,])(?=\s*(?:{_UNITS}))"
+BARE_QUANTITY = rf"[0-9]{{4}}(?<![0-9.,][0-9]{{4}})[0-9]*(?![0-9.,])(?=\s*(?:{_UNITS}))"
 _COMMA_PLACE = rf"(?=(?:[0-9]{{3}})+(?![0-9.,])\s*(?:{_UNITS}))(?<=(?<![0-9.,])[1-9][0-9]{{0,40}})"
 NOTE = "（下称“[^”]+”(?:，[^）]+)?）"
 _FORMS = "(?:科技有限公司|股份有限公司|有限责任公司|娱乐集团|有限公司|集团|公司)"
@@ -61,11 +61,12 @@ def normalize(text: Column) -> Column:
 
 
 def has_stray_blank(text: Column) -> Column:
-    return matches(text, rf"[{V.CJK}][^\S\r\n]+[{_ALNUM}]|[{_ALNUM}][^\S\r\n]+[{V.CJK}]")
+    blank = r"[^\S\r\n]"
+    return matches(text, rf"{blank}(?:(?<=[{V.CJK}]{blank}){blank}*+[{_ALNUM}]|(?<=[{_ALNUM}]{blank}){blank}*+[{V.CJK}])")
 
 
 def has_halfwidth_punctuation(text: Column) -> Column:
-    return matches(text, rf"[{V.CJK}][,;:!?()\[\]]|[,;:!?()\[\]][{V.CJK}]")
+    return matches(text, rf"[,;:!?()\[\]](?:(?<=[{V.CJK}].)|(?=[{V.CJK}]))")
 
 
 def has_bare_quantity(text: Column) -> Column:
@@ -114,14 +115,18 @@ def without_notes(text: Column) -> Column:
     return normalize(F.regexp_replace(tidy_notes(text), NOTE, ""))
 
 
+#: Every malformed note holds one of these; one of the first four is malformed by itself.
+NOTE_WORDS = ("下文简称", "以下简称", "（简称", "（证券简称", "（下称“")
+
+
 def has_malformed_note(text: Column) -> Column:
-    pattern = rf"{DESCRIBED_NOTE}|下文简称|以下简称|（简称|（证券简称|{NOTE}(?:娱乐集团|科技有限公司|股份有限公司|有限责任公司|有限公司)"
-    named = matches(text, pattern) | matches(text, SPLIT_NOTE) | matches(text, rf"({NOTE})\1")
-    return matches(text, "（下称“|下文简称|以下简称|（简称|（证券简称") & named  # every one of the forms holds one of these
+    named = matches(text, rf"{DESCRIBED_NOTE}|{NOTE}(?:娱乐集团|科技有限公司|股份有限公司|有限责任公司|有限公司)") | matches(text, SPLIT_NOTE) | matches(text, rf"({NOTE})\1")
+    return matches(text, words_pattern(NOTE_WORDS[:4])) | matches(text, words_pattern(NOTE_WORDS[4:])) & named
 
 
 def has_placeholder_fact(text: Column) -> Column:
-    return matches(text, r"(?i)(?:[0-9]+(?:\.[0-9]+)?\.x+%|x{2,}%?|待补充|待确认|占位|TODO|TBD)")
+    """A digit before ``.x%``, two or more x, or a word for what is to be filled in; the first sign is looked at before the forms."""
+    return matches(text, r"(?=[0-9xXtT待占])(?:[0-9]\.[xX]+%|[xX]{2}|待补充|待确认|占位|(?i:TODO|TBD))")
 
 
 def with_first_note(text: Column, name: Column, note: Column) -> Column:

@@ -57,22 +57,24 @@ def normalized(sections: Column) -> Column:
     return F.transform(kept, numbered)
 
 
-def concreteness(text: Column, names: Column, words: Column | None = None) -> Column:
-    """A point each for a figure, for one of the parties' names and for three concrete terms (counted already or not)."""
-    words = T.count_terms(text, V.CONCRETE_WORDS) if words is None else words
-    return matches(text, "[0-9]").cast("int") + C.mentions(text, names).cast("int") + (words >= 3).cast("int")
+def concreteness(text: Column, named: Column, words: Column) -> Column:
+    """A point each for a figure, for one of the parties' names and for three concrete terms."""
+    return matches(text, "[0-9]").cast("int") + named.cast("int") + (words >= 3).cast("int")
 
 
-def has_buyer_reason(text: Column, words: Column) -> Column:
-    """Three words of a buyer's motive, or a paragraph that ties a buyer to a purpose by cause or mechanism."""
+_ACTING, _PURPOSE = ("受让方", "受让人", "投资方", "收购方", "并购方", "买方"), ("目的", "动机", "理由", "旨在", "意在", "为了", "投资目标")
+
+
+def has_buyer_reason(text: Column, said: Column) -> Column:
+    """Three words of a buyer's motive, or a paragraph that ties a buyer to a purpose by cause or mechanism; ``said`` counts what the whole text holds of each."""
 
     def tied(p: Column) -> Column:
         gap = F.contains(p, F.lit("未披露"))
-        named = has_any(p, ("受让方", "受让人", "投资方", "收购方", "并购方", "买方")) & has_any(p, ("目的", "动机", "理由", "旨在", "意在", "为了", "投资目标"))
+        named = has_any(p, _ACTING) & has_any(p, _PURPOSE)
         mechanism = has_any(p, ("持股", "股权比例", "表决权", "锁定期", "协议转让", "支付方式")) & has_any(p, ("因此", "意味着", "对应", "从而"))
         return (F.length(F.trim(p)) >= 60) & named & F.when(gap, mechanism).otherwise(has_any(p, ("因此", "因为", "旨在", "为了", "从而", "意在")))
 
-    return (words >= 3) | F.exists(F.split(text, "\r\n|\r|\n"), tied)
+    return (said["buyer"] >= 3) | (said["acting"] > 0) & (said["purpose"] > 0) & F.exists(F.split(text, "\r\n|\r|\n"), tied)
 
 
 def has_acceptance_contradiction(text: Column) -> Column:
@@ -92,7 +94,7 @@ def lacks_party_note(body: Column, name: Column) -> Column:
 #: Words that the rules count in a whole text and in its last section; those of the rules of form, then those of quality.
 _SAID = {
     "audience": V.BANNED_AUDIENCE, "hypotheses": V.HYPOTHESES, "tone": V.BANNED_TONE, "time": V.TIME_WORDS, "consideration": V.CONSIDERATION_WORDS, "financial": V.FINANCIAL_WORDS,
-    "buyer": V.BUYER_WORDS, "seller": V.SELLER_WORDS, "introduction": V.INTRO_WORDS,
+    "buyer": V.BUYER_WORDS, "seller": V.SELLER_WORDS, "introduction": V.INTRO_WORDS, "acting": _ACTING, "purpose": _PURPOSE, "notes": C.NOTE_WORDS,
 }
 _LAST_SAID = {"generic": V.GENERIC_CONCLUSIONS, "concrete": V.CONCRETE_WORDS}
 _SHOWN = {
@@ -115,7 +117,8 @@ def with_parts(articles: DataFrame) -> DataFrame:
         "named_a": party("acquirer"), "named_t": party("target"), "meant_a": or_else(party("acquirer"), inferred[0]), "meant_t": or_else(party("target"), inferred[1]),
     })
     text, last_text = F.col("text"), F.col("last_text")
-    return out.withColumns({f"names_{k}": C.name_aliases(F.col(f"meant_{k}")) for k in "at"} | {
+    out = out.withColumns({f"names_{k}": C.name_aliases(F.col(f"meant_{k}")) for k in "at"})
+    return out.withColumns({f"last_{k}": C.mentions(last_text, F.col(f"names_{k}")) for k in "at"} | {
         "said": terms.measured(text, _SAID), "last_said": terms.measured(last_text, _LAST_SAID), "shown": terms.measured(text, _SHOWN), "last_shown": terms.measured(last_text, _LAST_SHOWN),
         "early_shown": terms.measured(F.col("early"), _EARLY_SHOWN), "prominent_shown": terms.measured(F.concat_ws("\n", F.coalesce("title", F.lit("")), F.array_join("headings", "\n")), {"media": V.MEDIA_TONE}),
         "paragraphs_shown": terms.measured(F.array_join("paragraphs", "\n")),
@@ -131,7 +134,7 @@ def article_rules() -> list[tuple[str, Column]]:
     named = F.startswith(last_heading, F.concat(C.cn_number(n), F.lit("、结语："))) | F.startswith(last_heading, F.concat(F.lit("第"), C.cn_number(n), F.lit("章")))
     suffix = F.regexp_replace(F.regexp_replace(C.bare_heading(last_heading), "(?s)^.*?结语", ""), "^[：: ]+", "")
     any_heading = lambda words: F.exists(headings, lambda h: has_any(h, words))
-    vague = F.exists("parts", lambda p: (F.length(p) >= 260) & (size(p) >= 260) & (concreteness(p, names) < 2))
+    vague = F.exists("parts", lambda p: (F.length(p) >= 260) & (size(p) >= 260) & (concreteness(p, C.mentions(p, names), T.count_terms(p, V.CONCRETE_WORDS)) < 2))
     return [
         ("too_short", said["size"] < LEAST), ("too_long", said["size"] > MOST), ("long_title", size(title) > 40), ("no_subtitle", ~matches(title, "[：:]")),
         ("title_without_acquirer", meant["a"] & ~named_in(title, "a")), ("title_without_target", meant["t"] & ~named_in(title, "t")),
@@ -139,10 +142,10 @@ def article_rules() -> list[tuple[str, Column]]:
         ("template_intro", has_any(F.substring(intro, 1, 140), V.BANNED_INTRO)), ("audience", said["audience"] > 0), ("hypothesis", said["hypotheses"] > 0), ("tone", said["tone"] > 0),
         ("few_sections", n < 4), ("many_sections", n > 7), ("generic_heading", (n >= 4) & any_heading(V.GENERIC_HEADINGS)), ("thinking_heading", (n >= 4) & any_heading(V.THINKING_HEADINGS)), ("tone_heading", (n >= 4) & any_heading(V.BANNED_TONE)),
         ("vague_section", (n >= 4) & vague), ("last_heading", (n >= 4) & ~named), ("short_ending_title", (n >= 4) & named & (size(suffix) < 6)), ("generic_conclusion", (n >= 4) & (last_said["generic"] > 0)),
-        ("shallow_conclusion", (n >= 4) & (concreteness(last_text, names, last_said["concrete"]) < 3)), ("conclusion_without_parties", (n >= 4) & (meant["a"] & ~named_in(last_text, "a") | meant["t"] & ~named_in(last_text, "t"))),
+        ("shallow_conclusion", (n >= 4) & (concreteness(last_text, F.col("last_a") | F.col("last_t"), last_said["concrete"]) < 3)), ("conclusion_without_parties", (n >= 4) & (meant["a"] & ~F.col("last_a") | meant["t"] & ~F.col("last_t"))),
         ("few_figures", said["digits"] < 35), ("no_time", said["time"] == 0), ("no_consideration", said["consideration"] == 0), ("few_financials", said["financial"] < 4),
-        ("no_buyer_reason", ~has_buyer_reason(text, said["buyer"])), ("no_seller_reason", said["seller"] < 2), ("acquirer_missing", (F.col("named_a") != "") & ~named_in(text, "a")), ("target_missing", (F.col("named_t") != "") & ~named_in(text, "t")),
-        ("no_introduction", said["introduction"] < 5), ("malformed_note", C.has_malformed_note(text)), ("placeholder", C.has_placeholder_fact(text)),
+        ("no_buyer_reason", ~has_buyer_reason(text, said)), ("no_seller_reason", said["seller"] < 2), ("acquirer_missing", (F.col("named_a") != "") & ~named_in(text, "a")), ("target_missing", (F.col("named_t") != "") & ~named_in(text, "t")),
+        ("no_introduction", said["introduction"] < 5), ("malformed_note", (said["notes"] > 0) & C.has_malformed_note(text)), ("placeholder", C.has_placeholder_fact(text)),
         ("missing_note", lacks_party_note(body, F.col("named_a")) | lacks_party_note(body, F.col("named_t"))), ("halfwidth_quote", matches(text, "[\"']")),
     ]
 

@@ -208,3 +208,26 @@ def test_rules_of_articles_search_no_word_by_word(spark, rules):
     spark.conf.set("spark.sql.maxPlanStringLength", 10_000_000)
     read = articles.with_parts(spark.createDataFrame([], articles.ARTICLE))
     assert plan(read.select(expectations.issues(rules()).alias("x"))).count("Contains(") < 50
+
+
+def test_broken_rules_are_counted_where_the_articles_are(spark, one_group):
+    """No row is made for each article and issue, and rules that begin with their sign mean what those that look behind first mean."""
+    found = reports.article_issues(spark, one_group)
+    assert plan(found).count("Generate") == 1 and "Aggregate [count" in plan(found)
+    issues = articles.with_parts(reports._articles(spark, one_group)).select(F.explode(expectations.issues(articles.article_rules())).alias("issue"))
+    assert {r["issue"]: r["n"] for r in found.collect()} == {r["issue"]: r["count"] for r in issues.groupBy("issue").count().collect()}
+
+    K, X = V.CJK, "A-Za-z0-9"
+    note = "下文简称|以下简称|（简称|（证券简称"
+    split = F.rlike("t", F.lit(C.SPLIT_NOTE)) | F.rlike("t", F.lit(rf"({C.NOTE})\1"))
+    old = {
+        "blank": F.rlike("t", F.lit(rf"[{K}][^\S\r\n]+[{X}]|[{X}][^\S\r\n]+[{K}]")), "half": F.rlike("t", F.lit(rf"[{K}][,;:!?()\[\]]|[,;:!?()\[\]][{K}]")),
+        "bare": F.rlike("t", F.lit(rf"(?<![0-9.,])[0-9]{{4,}}(?![0-9.,])(?=\s*(?:{S.words_pattern(V.QUANTITY_UNITS)}))")), "fact": F.rlike("t", F.lit(r"(?i)(?:[0-9]+(?:\.[0-9]+)?\.x+%|x{2,}%?|待补充|待确认|占位|TODO|TBD)")),
+        "note": F.rlike("t", F.lit(rf"{C.DESCRIBED_NOTE}|{note}|{C.NOTE}(?:娱乐集团|科技有限公司|股份有限公司|有限责任公司|有限公司)")) | split,
+    }
+    new = {"blank": C.has_stray_blank(F.col("t")), "half": C.has_halfwidth_punctuation(F.col("t")), "bare": C.has_bare_quantity(F.col("t")), "fact": C.has_placeholder_fact(F.col("t")), "note": C.has_malformed_note(F.col("t"))}
+    rng = random.Random(13)
+    parts = ["甲", "A", "7", "1234", "00", " ", "\t", "\n", ",", ":", "(", "]", ".", "元", "million", "x", "X", "%", "待补充", "占位", "tbd", "ToDo", "公司", "收购方", "（下称“甲”）", "（下称“甲”，1）", "有限公司", "（简称", "以下简称", "SPAC公司", " Acme Corp."]
+    df = spark.createDataFrame([("".join(rng.choices(parts, k=rng.randint(0, 7))),) for _ in range(6000)], "t string").select("t", *[c.alias(f"old_{k}") for k, c in old.items()], *[c.alias(f"new_{k}") for k, c in new.items()]).cache()
+    for k in old:
+        assert df.where(f"old_{k} <> new_{k}").count() == 0 and 0 < df.where(f"old_{k}").count() < 6000, k
